@@ -22,35 +22,44 @@ def flattened(lists: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
 class ChunkTable(dict):
     """chunk -> code, and the ids of each code in one flat array.
 
-    Looking up an unknown chunk gives it the next code; ``ids_of`` segments all new ones in one call. ``segment`` gives
-    the ids of a list of chunks as one array, and their counts. A table that has passed ``limit`` chunks is emptied
-    before the next texts, so its memory is bounded.
+    Looking up an unknown chunk gives it the next code; ``fill`` segments all new ones in one call. ``segment`` gives
+    the ids of a list of chunks as one array, and their counts. A table that has passed ``limit`` chunks keeps, before
+    the next texts, only chunks that came more than once (half the limit at most), so its memory is bounded.
     """
 
     def __init__(self, segment: Callable[[list], tuple[np.ndarray, np.ndarray]], limit: int = 400_000):
-        self.segment, self.limit = segment, limit
-        self._reset()
-
-    def _reset(self) -> None:
-        self.clear()
-        self.new: list = []
-        self.flat, self.counts, self.starts = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.segment, self.limit, self.new = segment, limit, []
+        self.flat, self.counts, self.starts, self.seen = np.zeros(0, np.uint32), *(np.zeros(0, np.int64) for _ in range(3))
 
     def __missing__(self, chunk) -> int:
         self[chunk] = code = len(self)
         self.new.append(chunk)
         return code
 
-    def ids_of(self, chunked: Sequence[list]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, given as lists of chunks, one after the other, and the number of ids of each text."""
-        if len(self) > self.limit:
-            self._reset()
-        codes = np.fromiter(map(self.__getitem__, chain.from_iterable(chunked)), np.int64)
+    def shrink(self) -> None:
+        if len(self) <= self.limit:
+            return
+        often = np.flatnonzero(self.seen > 1)
+        often = np.sort(often[np.argsort(-self.seen[often], kind="stable")[: self.limit // 2]])
+        chunks = list(self)
+        self.clear()
+        self.update(zip((chunks[i] for i in often.tolist()), range(len(often))))
+        self.flat, self.counts = joined(self.flat, self.starts[often], self.counts[often]), self.counts[often]
+        self.starts, self.seen = np.cumsum(self.counts) - self.counts, np.ones(len(often), np.int64)
+
+    def fill(self, codes: np.ndarray) -> None:
         if self.new:
             (flat, counts), self.new = self.segment(self.new), []
             self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(counts) - counts])
-            self.counts = np.concatenate([self.counts, counts])
-            self.flat = np.concatenate([self.flat, flat])
+            self.counts, self.flat = np.concatenate([self.counts, counts]), np.concatenate([self.flat, flat])
+            self.seen = np.concatenate([self.seen, np.zeros(len(counts), np.int64)])
+        self.seen += np.bincount(codes, minlength=len(self.seen))
+
+    def ids_of(self, chunked: Sequence[list]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, given as lists of chunks, one after the other, and the number of ids of each text."""
+        self.shrink()
+        codes = np.fromiter(map(self.__getitem__, chain.from_iterable(chunked)), np.int64)
+        self.fill(codes)
         lens = self.counts[codes]
         edges = np.concatenate([[0], np.cumsum(np.fromiter(map(len, chunked), np.int64, len(chunked)))])
         upto = np.concatenate([[0], np.cumsum(lens)])[edges]

@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -66,11 +67,16 @@ class PieceCoder:
         return self.lib.decode([x.tolist() for x in ids], num_threads=1) if ids else []
 
 
+@cache  # a worker that is used again keeps its table
+def piece_coder(path: str) -> PieceCoder:
+    return PieceCoder(path)
+
+
 def digests(docs: DataFrame, model_path: str) -> DataFrame:
     """docs(doc_id, text) -> (doc_id, n_tokens, ids_sha256, decoded_sha256) of ``encode_decode``, a row for each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = PieceCoder(model_path)
+        coder = piece_coder(model_path)
         for part, texts in text_chunks(batches):
             ids = coder.encode(texts)
             yield record_batch(_DIGEST, part.column("doc_id"), [len(x) for x in ids], [hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids], [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in coder.decode(ids)])
@@ -88,7 +94,7 @@ def encode_decode(docs: DataFrame, model_path: str) -> DataFrame:
     schema = rows.schema.add("piece_ids", "array<int>").add("piece_text", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = PieceCoder(model_path)
+        coder = piece_coder(model_path)
         for part, texts in text_chunks(batches):
             ids = coder.encode(texts)
             arrays = [*part.columns, pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())), pa.array(coder.decode(ids), pa.string())]

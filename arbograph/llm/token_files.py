@@ -13,6 +13,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -102,6 +103,7 @@ class WordEncoder(ChunkTable):
         from tokenizers import Tokenizer
 
         super().__init__(self._words)
+        self.parts = ChunkTable(self._distinct)
         self.tokenizer = Tokenizer.from_file(path)
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -127,18 +129,23 @@ class WordEncoder(ChunkTable):
         return joined(np.concatenate([flat, rest]), starts[order], counts[order]), counts[order]
 
     def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        parts: dict[bytes, int] = {b"": 0}
-        code = lambda part: parts.setdefault(part, len(parts))
-        pairs = np.zeros((len(words), 2), np.int64)
-        for i, w in enumerate(words):
+        self.parts.shrink()
+        code, pairs = self.parts.__getitem__, []
+        for w in words:
             stem = w.rstrip(_MARKS)
             if len(stem) == len(w) or not stem[-1:].isalpha() or b"<" in w:
-                pairs[i, 0] = code(w)
+                pairs += code(w), code(b"")
             else:
-                pairs[i] = code(stem), code(w[len(stem) :])
-        flat, counts = self._distinct(list(parts))
-        starts, pairs = np.cumsum(counts) - counts, pairs.ravel()
-        return joined(flat, starts[pairs], counts[pairs]), counts[pairs].reshape(-1, 2).sum(axis=1)
+                pairs += code(stem), code(w[len(stem) :])
+        codes = np.array(pairs, np.int64)
+        self.parts.fill(codes)
+        counts = self.parts.counts[codes]
+        return joined(self.parts.flat, self.parts.starts[codes], counts), counts.reshape(-1, 2).sum(axis=1)
+
+
+@cache  # a worker that is used again keeps its table
+def word_encoder(path: str) -> WordEncoder:
+    return WordEncoder(path)
 
 
 def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = END_ID, shards: int | None = None) -> None:
@@ -149,7 +156,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, encoder, block, first = TaskContext.get().partitionId(), WordEncoder(tokenizer_path), 0, 0
+        shard, encoder, block, first = TaskContext.get().partitionId(), word_encoder(tokenizer_path), 0, 0
         for part, texts in text_chunks(batches):
             ids, lengths = encoder.ids_of([t.encode("utf-8", "surrogatepass").split() for t in texts])
             ids, lengths = np.insert(ids, np.cumsum(lengths), end_id).astype(np.uint64), lengths + 1
