@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 CHUNK_BYTES = 2 << 20
 
 
-def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of the batches with at most ``limit`` bytes of text (or one row), with their texts; null becomes ''."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with at most ``limit`` bytes of text, or one row."""
     for batch in batches:
         texts = batch.column(column)
         if not len(batch):
@@ -26,11 +26,16 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit:
         while at < len(ends):
             base = ends[at - 1] if at else 0
             to = max(at + 1, int(np.searchsorted(ends, base + limit, side="right")))
-            part = batch.slice(at, to - at)
-            yield part, [t or "" for t in part.column(column).to_pylist()]
+            yield batch.slice(at, to - at)
             at = to
 
 
+def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """``slices`` with their texts; null becomes ''."""
+    for part in slices(batches, column, limit):
+        yield part, [t or "" for t in part.column(column).to_pylist()]
+
+
 def record_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
 

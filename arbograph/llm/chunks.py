@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
 
 def joined(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -55,12 +56,21 @@ class ChunkTable(dict):
             self.seen = np.concatenate([self.seen, np.zeros(len(counts), np.int64)])
         self.seen += np.bincount(codes, minlength=len(self.seen))
 
-    def ids_of(self, chunked: Sequence[list]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, given as lists of chunks, one after the other, and the number of ids of each text."""
-        self.shrink()
-        codes = np.fromiter(map(self.__getitem__, chain.from_iterable(chunked)), np.int64)
-        self.fill(codes)
+    def codes(self, chunks: pa.StringArray) -> np.ndarray:
+        """The code of each chunk, looked up once for each distinct one."""
+        distinct = chunks.dictionary_encode()
+        own = np.fromiter(map(self.__getitem__, distinct.dictionary.to_numpy(zero_copy_only=False).tolist()), np.int64, len(distinct.dictionary))
+        return own[distinct.indices.to_numpy()]
+
+    def put_together(self, codes: np.ndarray, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and how many each has, for texts of ``per_text`` codes each."""
         lens = self.counts[codes]
-        edges = np.concatenate([[0], np.cumsum(np.fromiter(map(len, chunked), np.int64, len(chunked)))])
-        upto = np.concatenate([[0], np.cumsum(lens)])[edges]
+        upto = np.concatenate([[0], np.cumsum(lens)])[np.concatenate([[0], np.cumsum(per_text)])]
         return joined(self.flat, self.starts[codes], lens), np.diff(upto)
+
+    def ids_of(self, chunked: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """``put_together`` for texts given as lists of chunks."""
+        self.shrink()
+        codes = self.codes(chunked.flatten())
+        self.fill(codes)
+        return self.put_together(codes, chunked.value_lengths().to_numpy())

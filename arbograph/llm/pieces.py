@@ -58,7 +58,7 @@ class PieceCoder:
         """ids of each text with begin and end ids."""
         if not self.plain:
             return [np.array(ids, np.uint32) for ids in self.lib.encode(texts, add_bos=True, add_eos=True, num_threads=1)]
-        ids, counts = self.table.ids_of([self.chunks(t) for t in texts])
+        ids, counts = self.table.ids_of(pa.array([self.chunks(t) for t in texts], pa.list_(pa.string())))
         edges = np.cumsum(counts)
         begin, end = np.uint32(self.ends[0]), np.uint32(self.ends[1])
         return [np.concatenate([[begin], ids[e - n : e], [end]]).astype(np.uint32) for e, n in zip(edges.tolist(), counts.tolist())]

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import pieces, rendezvous, secret_scan, simhash, token_files, winnow
+from . import divergence, pieces, rendezvous, secret_scan, simhash, token_files, winnow
 from .batches import scratch_root, table
 
 
@@ -23,6 +23,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = divergence.judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance")
+
+
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -41,7 +46,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_files, op2_simhash, op4_pieces, op5_decontamination, op7_secrets, op10_sharding)}
+    return {f.__name__: f for f in (op1_token_files, op2_simhash, op3_divergence, op4_pieces, op5_decontamination, op7_secrets, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -17,10 +17,11 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .batches import record_batch, text_chunks
+from .batches import record_batch, slices
 from .chunks import ChunkTable, flattened, joined
 
 #: Fixed values of the coding: selector i packs COUNTS[i] ids of WIDTHS[i] bits in the low 60 bits of a word.
@@ -58,10 +59,10 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         p = 1 << (c.bit_length() - 1)
         fits = np.maximum(windows[p][:n], windows[p][c - p : c - p + n]) <= max(s - 1, 0)
         best[fits] = s
-    step, at, starts = (np.arange(n) + COUNTS[best]).tolist(), 0, []
+    chosen, count, at, starts = best.tobytes(), COUNTS.tolist(), 0, []
     while at < n:
         starts.append(at)
-        at = step[at]
+        at += count[chosen[at]]
     starts = np.array(starts)
     chosen = best[starts]
     words = chosen.astype(np.uint64) << np.uint64(60)
@@ -87,23 +88,22 @@ def unpack(words: np.ndarray, n: int) -> np.ndarray:
 
 
 #: Marks that always end a run of letters and start a pre-token of their own.
-_MARKS = b".,!?*%&$#;:"
+_MARKS = ".,!?*%&$#;:"
 _LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 
 
 class WordEncoder(ChunkTable):
     """Encodes the words between ASCII white space, which no pre-token of the tokenizer crosses.
 
-    A new word is segmented as its stem and the marks at its end. Stems that are one run of letters go to the library
-    many at a time, as one text: each ends with the one token that carries the end-of-word suffix.
+    A word is the stem and up to eight marks at its end; both are chunks of the table. Stems that are one run of letters
+    go to the library many at a time, as one text: each ends with the one token that carries the end-of-word suffix.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__(self._words)
-        self.parts = ChunkTable(self._distinct)
+        super().__init__(self._distinct, limit=250_000)
         self.tokenizer = Tokenizer.from_file(path)
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -114,8 +114,7 @@ class WordEncoder(ChunkTable):
     def _whole(self, words: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _distinct(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        texts = [w.decode("utf-8", "replace") for w in words]
+    def _distinct(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         runs = np.fromiter((_LETTERS(t) is not None for t in texts), bool, len(texts))
         letters = [t for t, r in zip(texts, runs) if r]
         flat, counts = flattened(self._whole([" ".join(letters[i : i + 200]) for i in range(0, len(letters), 200)]))
@@ -128,19 +127,33 @@ class WordEncoder(ChunkTable):
         starts = np.concatenate([ends, len(flat) + np.cumsum(rest_counts)]) - counts
         return joined(np.concatenate([flat, rest]), starts[order], counts[order]), counts[order]
 
-    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        self.parts.shrink()
-        code, pairs = self.parts.__getitem__, []
-        for w in words:
-            stem = w.rstrip(_MARKS)
-            if len(stem) == len(w) or not stem[-1:].isalpha() or b"<" in w:
-                pairs += code(w), code(b"")
-            else:
-                pairs += code(stem), code(w[len(stem) :])
-        codes = np.array(pairs, np.int64)
-        self.parts.fill(codes)
-        counts = self.parts.counts[codes]
-        return joined(self.parts.flat, self.parts.starts[codes], counts), counts.reshape(-1, 2).sum(axis=1)
+    @staticmethod
+    def _stems(words: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+        """The stem of each word, and its marks as the bytes of a number."""
+        stems = pc.ascii_rtrim(words, characters=_MARKS)
+        data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+        starts = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words)]
+        whole, short = (pc.binary_length(x).to_numpy() for x in (words, stems))
+        size = whole - short
+        cut = np.flatnonzero((size > 0) & (size <= 8) & (short > 0) & ~pc.match_substring(words, "<").to_numpy(zero_copy_only=False))
+        cut = cut[np.isin(data[starts[cut] + short[cut] - 1] | 32, np.arange(0x61, 0x7B, dtype=np.uint8))]
+        is_cut, marks = np.zeros(len(words), bool), np.zeros(len(words), np.uint64)
+        is_cut[cut] = True
+        for j in range(8):
+            more = cut[size[cut] > j]
+            marks[more] = (marks[more] << np.uint64(8)) | data[starts[more] + short[more] + j]
+        return pc.if_else(pa.array(is_cut), stems, words), marks
+
+    def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and how many each has; null counts as empty."""
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        words = lists.flatten().dictionary_encode()
+        stems, marks = self._stems(words.dictionary)
+        kinds, kind = np.unique(marks, return_inverse=True)
+        self.shrink()
+        codes = np.stack([self.codes(stems), np.array([self[int(k).to_bytes(8, "big").lstrip(b"\0").decode()] for k in kinds], np.int64)[kind]], axis=1)
+        self.fill(codes.ravel())
+        return self.put_together(codes[words.indices.to_numpy()].ravel(), 2 * lists.value_lengths().to_numpy())
 
 
 @cache  # a worker that is used again keeps its table
@@ -157,8 +170,8 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, encoder, block, first = TaskContext.get().partitionId(), word_encoder(tokenizer_path), 0, 0
-        for part, texts in text_chunks(batches):
-            ids, lengths = encoder.ids_of([t.encode("utf-8", "surrogatepass").split() for t in texts])
+        for part in slices(batches, limit=4 << 20):
+            ids, lengths = encoder.encode(part.column("text"))
             ids, lengths = np.insert(ids, np.cumsum(lengths), end_id).astype(np.uint64), lengths + 1
             doc_ids, ends, at = part.column("doc_id").to_pylist(), np.cumsum(lengths), 0
             while at < len(doc_ids):
