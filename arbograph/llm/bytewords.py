@@ -38,6 +38,7 @@ class Words:
     text: np.ndarray  # the text that each word is in
     first: np.ndarray  # of each text, its first word; one more at the end
     hashes: np.ndarray
+    begins: np.ndarray  # of each text in the bytes; one more at the end
 
     def span(self, at: int, n: int) -> str:
         """n words from a word on, space-joined."""
@@ -62,7 +63,7 @@ def words_of(texts: list[str], is_word: np.ndarray, lower: bool = True, hashed:
         sums = np.zeros(len(codes) + 1, np.uint64)
         np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
         hashes = mixed((sums[ends] - sums[starts]) * down[starts])
-    return Words(data, starts, ends, text, first, hashes)
+    return Words(data, starts, ends, text, first, hashes, begins)
 
 
 def gram_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
