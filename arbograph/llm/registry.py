@@ -8,8 +8,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import divergence, pieces, rendezvous, secret_scan, simhash, token_files, winnow
+from . import divergence, pieces, quality, rendezvous, secret_scan, simhash, token_files, toxicity, winnow
 from .batches import scratch_root, table
+from .sampling import id_remainder
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,16 +38,28 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_remainder(F.col("doc_id"), 4) == 2
+    scores = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), train=~held_out)
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_remainder(F.col("doc_id"), 5) == 0
+    scores = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), train=~held_out)
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rendezvous.assign_shards(table(spark, sf_dir, "documents"), shards=24)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_files, op2_simhash, op3_divergence, op4_pieces, op5_decontamination, op7_secrets, op10_sharding)}
+    return {f.__name__: f for f in (op1_token_files, op2_simhash, op3_divergence, op4_pieces, op5_decontamination, op6_toxicity, op7_secrets, op9_quality, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
