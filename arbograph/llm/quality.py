@@ -23,7 +23,6 @@ DIM, EPOCHS, RATE = 10, 6, 0.5
 SAMPLE = 4000
 _WORD = np.array([not (b == 0x20 or 0x09 <= b <= 0x0D) for b in range(256)])
 _FEATURES = pa.schema([("doc_id", pa.int64()), ("y", pa.int32()), ("at", pa.list_(pa.int32())), ("share", pa.list_(pa.float32()))])
-_SCORES = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
 
 def hashed(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -97,12 +96,8 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> tuple[
     return number.astype(np.float32), offset, best_cut(scores, y[aside])
 
 
-def classify(docs: DataFrame, labels: DataFrame, train: Column | None = None, sample: int = SAMPLE) -> DataFrame:
-    """docs(doc_id, text), labels(doc_id, quality) -> (doc_id, score): a row for each row of docs.
-
-    ``train`` says by doc_id which labelled rows may be learned from (all, if not given). Scores use the text alone; null
-    and empty texts get the score of no features. The model is a table of fixed size, sent to the executors.
-    """
+def scored(docs: DataFrame, labels: DataFrame, column: str, train: Column | None = None, sample: int = SAMPLE) -> DataFrame:
+    """docs and a double column of that name: the score of each row's text, as ``classify`` says."""
     spark = docs.sparkSession
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,12 +116,21 @@ def classify(docs: DataFrame, labels: DataFrame, train: Column | None = None, sa
             for feature, text in hashed(texts):
                 total += np.bincount(text, number[feature], len(texts))
                 count += np.bincount(text, minlength=len(texts))
-            yield record_batch(_SCORES, part.column("doc_id"), at_cut(1 / (1 + np.exp(-(total / np.maximum(count, 1) + offset))), cut))
+            score = at_cut(1 / (1 + np.exp(-(total / np.maximum(count, 1) + offset))), cut)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score)], names=[*part.schema.names, column])
+
+    return docs.mapInArrow(run, docs.select("*", F.lit(0.0).alias(column)).schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
+
+def classify(docs: DataFrame, labels: DataFrame, train: Column | None = None, sample: int = SAMPLE) -> DataFrame:
+    """docs(doc_id, text), labels(doc_id, quality) -> (doc_id, score): a row for each row of docs.
+
+    ``train`` says by doc_id which labelled rows may be learned from (all, if not given). Scores use the text alone; null
+    and empty texts get the score of no features. The model is a table of fixed size, sent to the executors.
+    """
+    return scored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels, "score", train, sample).select("doc_id", "score")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.3, sample: int = SAMPLE) -> DataFrame:
-    """The rows of docs with a score of at least ``least``; rows with a null doc_id are kept, as no score names them."""
-    bad = classify(docs, labels, sample=sample).where(F.col("score") < least).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of docs whose text scores at least ``least``."""
+    return scored(docs, labels, "__score", sample=sample).where(F.col("__score") >= least).drop("__score")

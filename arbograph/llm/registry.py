@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import divergence, pieces, quality, rendezvous, secret_scan, simhash, token_files, toxicity, winnow
+from . import divergence, line_dedup, pieces, quality, rendezvous, secret_scan, simhash, token_files, toxicity, winnow
 from .batches import scratch_root, table
 from .sampling import id_remainder
 
@@ -48,6 +48,10 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = id_remainder(F.col("doc_id"), 5) == 0
     scores = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), train=~held_out)
@@ -59,7 +63,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_files, op2_simhash, op3_divergence, op4_pieces, op5_decontamination, op6_toxicity, op7_secrets, op9_quality, op10_sharding)}
+    return {f.__name__: f for f in (op1_token_files, op2_simhash, op3_divergence, op4_pieces, op5_decontamination, op6_toxicity, op7_secrets, op8_line_dedup, op9_quality, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
