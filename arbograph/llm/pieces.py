@@ -91,7 +91,7 @@ def encode_decode(docs: DataFrame, model_path: str) -> DataFrame:
     """
     kept = [c for c in docs.columns if c not in ("piece_ids", "piece_text")]
     rows = docs.select(*kept)
-    schema = rows.schema.add("piece_ids", "array<int>").add("piece_text", "string")
+    schema = rows.select("*", F.lit(None).cast("array<int>").alias("piece_ids"), F.lit("").alias("piece_text")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = piece_coder(model_path)
