@@ -45,14 +45,14 @@ def features(docs: DataFrame) -> DataFrame:
     } | {k: _left(F.col("text"), v) for k, v in CLASSES.items()})
     rows = rows.withColumns({"n": F.size("words"), "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long")}).drop("text", "lines")
     # Windows of three words as sorted numbers: their hash in the high bits, their place in as many low bits as the text needs.
-    low = "length(bin(n))"
-    rows = rows.withColumn("keyed", F.expr(f"case when n < 4 then array() else sort_array(transform(sequence(0, n - 3), i -> shiftleft(shiftright(xxhash64(get(words, i), get(words, i + 1), get(words, i + 2)), {low}), {low}) | cast(i as bigint))) end"))
+    low = "low"
+    rows = rows.withColumn("low", F.length(F.bin("n"))).withColumn("keyed", F.expr(f"case when n < 4 then array() else sort_array(transform(sequence(0, n - 3), i -> shiftleft(shiftright(xxhash64(get(words, i), get(words, i + 1), get(words, i + 2)), {low}), {low}) | cast(i as bigint))) end"))
     same = f"coalesce(shiftright(get(keyed, k {{}} 1), {low}) = shiftright(v, {low}), false)"
     rows = rows.withColumn("twice", F.expr(f"sort_array(transform(filter(keyed, (v, k) -> {same.format('-')} or {same.format('+')}), v -> v & (shiftleft(1L, {low}) - 1)))"))
     repeated = F.expr("aggregate(twice, named_struct('last', -3L, 'n', 0L), (a, p) -> named_struct('last', p, 'n', a.n + least(3L, p - a.last)), a -> a.n)")
     # Places of the common words in the list, and each place once more, sorted: the gaps between firsts are the counts.
     rows = rows.withColumn("places", F.sort_array(F.concat(F.transform(F.filter("words", lambda w: w.isin(WORDS)), lambda w: F.array_position(F.array(*map(F.lit, WORDS)), w).cast("int")), F.sequence(F.lit(1), F.lit(len(WORDS) + 1)))))
-    firsts = F.transform(F.sequence(F.lit(1), F.lit(len(WORDS) + 1)), lambda i: F.array_position("places", i))
+    firsts = F.transform(F.array("places"), lambda p: F.transform(F.sequence(F.lit(1), F.lit(len(WORDS) + 1)), lambda i: F.array_position(p, i)))[0]  # p is made once, not for each i
     rows = rows.select("doc_id", "lang", F.col("n").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", repeated.alias("n_repeat_words"), *CLASSES, "length", firsts.alias("firsts"))
     rest = F.col("word_chars") - F.col("n_symbols")
     for k in CLASSES:
