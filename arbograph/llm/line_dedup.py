@@ -19,7 +19,7 @@ from .batches import saved
 #: Cells of the table of word counts, and of the bitmap of lines to verify; both are literals of fixed size.
 COUNT_CELLS, LINE_CELLS = 1 << 20, 1 << 16
 #: Postings of a word from which its lines are first compared with one line of their length.
-HOT = 64
+HOT = 256
 _ID = ["did", "low"]
 _NULL_ID = -(1 << 63)
 
@@ -43,7 +43,7 @@ def _worded(line: Column, min_words: int) -> Column:
 
 
 def _words(line: Column) -> Column:
-    return F.array_remove(F.split(line, "[ \\t-\\r]+"), "")
+    return F.array_remove(F.when(line.rlike("[\\t-\\r]"), F.split(line, "[ \\t-\\r]+")).otherwise(F.split(line, " ")), "")  # one character splits fast
 
 
 def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
@@ -51,7 +51,7 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
     matched the (did, low) of first lines that match an earlier line of another class."""
     lines = _lines(docs, min_words)
     cell = lambda w: F.xxhash64(w).bitwiseAND(COUNT_CELLS - 1).cast("int")
-    counts = lines.select(F.explode(F.split("line", "[ \\t-\\r]+")).alias("w")).groupBy(cell(F.col("w")).alias("cell")).agg(F.count("*").alias("n"))
+    counts = lines.select(F.explode(_words(F.col("line"))).alias("w")).groupBy(cell(F.col("w")).alias("cell")).agg(F.count("*").alias("n"))
     found = counts.select("cell", F.least(F.floor(F.log2("n") * 8), F.lit(254)).cast("int").alias("class")).toArrow()  # a row for each cell at most
     ranks = [255] * COUNT_CELLS
     for c, r in zip(found["cell"].to_pylist(), found["class"].to_pylist()):
@@ -82,6 +82,11 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
 
     pair = [F.col("a.did").alias("did"), F.col("a.low").alias("low"), F.col("b.did").alias("did2"), F.col("b.low").alias("low2")]
     earlier = F.struct("b.did", "b.low") < F.struct("a.did", "a.low")
+    far = F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits"))).alias("far")
+
+    def nearest(pairs: DataFrame) -> DataFrame:
+        """Of each later line the pair whose bitmaps differ least."""
+        return pairs.groupBy(*_ID).agg(F.min(F.struct("far", "did2", "low2")).alias("b")).select(*_ID, "b.did2", "b.low2")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """(did, low) of the later lines of pairs that reach the threshold."""
@@ -92,26 +97,28 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
         for c, b in zip(cells["cell"].to_pylist(), cells["bits"].to_pylist()):
             bits[c] = b
         needed = F.call_function("shiftrightunsigned", F.get(_literal(bits, "long"), F.shiftright(bit, 6).cast("int")), bit.bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
-        texts = _lines(docs, min_words).where(needed).join(ends.distinct(), _ID, "left_semi").dropDuplicates(_ID).select(*_ID, F.array_distinct(_words(F.col("line"))).alias("set"))
+        texts = _lines(docs, min_words).where(needed).join(ends.distinct(), _ID, "left_semi").distinct().select(*_ID, F.array_distinct(_words(F.col("line"))).alias("set"))
         texts = saved(texts, "lines")
         both = pairs.join(texts, _ID).join(texts.select(F.col("did").alias("did2"), F.col("low").alias("low2"), F.col("set").alias("set2")), ["did2", "low2"])
         shared = F.size(F.array_intersect("set", "set2"))
         return both.where(shared >= (F.size("set") + F.size("set2") - shared) * threshold - 1e-9).select(*_ID).distinct()
 
-    crowded = saved(postings(classes).groupBy("w").agg(F.count("*").alias("m")).where(F.col("m") > hot).select("w"), "hot")
-    done, open_ = None, classes
+    all_ = postings(classes)
+    crowded = saved(all_.groupBy("w").agg(F.count("*").alias("m")).where(F.col("m") > hot).select("w"), "hot")
+    pairs = all_.join(crowded, "w", "left_anti")
+    pairs = pairs.alias("a").join(pairs.alias("b"), (F.col("a.w") == F.col("b.w")) & earlier & possible("a", "b")).select(*pair, far)
+    done = None
     if not crowded.isEmpty():
-        among = postings(classes).join(crowded, "w")
+        among = saved(all_.join(crowded, "w", "left_semi"), "crowd")
         lead = among.groupBy("w", "n").agg(F.min(F.struct(*_ID, "i", "bits")).alias("c")).select("w", "n", "c.*")
-        pairs = saved(among.alias("a").join(lead.alias("b"), ["w", "n"]).select(*(F.col(f"a.{c}") for c in ("did", "low")), F.col("b.did").alias("did2"), F.col("b.low").alias("low2"), F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits"))).alias("far")).where(F.struct("did2", "low2") < F.struct(*_ID)).groupBy(*_ID).agg(F.min(F.struct("far", "did2", "low2")).alias("b")).select(*_ID, "b.did2", "b.low2"), "leaders")
-        done = saved(verified(pairs), "settled")
-        open_ = classes.join(done, _ID, "left_anti")
-    pairs = postings(open_).alias("a").join(postings(classes).alias("b"), (F.col("a.w") == F.col("b.w")) & earlier & possible("a", "b")).select(*pair).distinct()
+        led = among.alias("a").join(lead.alias("b"), (F.col("a.w") == F.col("b.w")) & (F.col("a.n") == F.col("b.n")) & earlier).select(*pair, far)
+        done = saved(verified(saved(nearest(led), "leaders")), "settled")
+        rest = among.join(done, _ID, "left_anti")
+        pairs = pairs.union(rest.alias("a").join(among.alias("b"), (F.col("a.w") == F.col("b.w")) & earlier & possible("a", "b")).select(*pair, far))
+    pairs = pairs.distinct() if done is None else pairs.distinct().join(done, _ID, "left_anti")
     pairs = saved(pairs, "candidates")
-    near = verified(pairs.groupBy(*_ID).agg(F.min(F.struct("did2", "low2")).alias("b")).select(*_ID, "b.*"))
-    near = saved(near, "near")
-    rest = verified(saved(pairs.join(near, _ID, "left_anti"), "rest"))
-    matched = near.union(rest)
+    near = saved(verified(nearest(pairs)), "near")
+    matched = near.union(verified(saved(pairs.join(near, _ID, "left_anti"), "rest")))
     return first, saved((matched if done is None else matched.union(done)).distinct(), "matched")
 
 
