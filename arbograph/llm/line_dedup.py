@@ -12,6 +12,8 @@ what that settles is not compared again.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .batches import saved
@@ -24,9 +26,13 @@ _ID = ["did", "low"]
 _NULL_ID = -(1 << 63)
 
 
-def _literal(values: list[int], kind: str) -> Column:
-    """A constant array; parsed from one string, as a million literals would be slow to build."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+def _literal(cells: int, at: pa.ChunkedArray, values: pa.ChunkedArray, kind: str, rest: int) -> Column:
+    """A constant array of fixed length, parsed from one string, as a million literals would be slow to build."""
+    found = np.full(cells, rest, np.int64)
+    found[at.to_numpy()] = values.to_numpy()
+    names, place = np.unique(found, return_inverse=True)
+    names = [str(x) for x in names.tolist()]
+    return F.split(F.lit(",".join(map(names.__getitem__, place))), ",").cast(f"array<{kind}>")
 
 
 def _lines(docs: DataFrame, min_words: int) -> DataFrame:
@@ -52,11 +58,8 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
     lines = _lines(docs, min_words)
     cell = lambda w: F.xxhash64(w).bitwiseAND(COUNT_CELLS - 1).cast("int")
     counts = lines.select(F.explode(_words(F.col("line"))).alias("w")).groupBy(cell(F.col("w")).alias("cell")).agg(F.count("*").alias("n"))
-    found = counts.select("cell", F.least(F.floor(F.log2("n") * 8), F.lit(254)).cast("int").alias("class")).toArrow()  # a row for each cell at most
-    ranks = [255] * COUNT_CELLS
-    for c, r in zip(found["cell"].to_pylist(), found["class"].to_pylist()):
-        ranks[c] = r
-    table = _literal(ranks, "int")
+    found = counts.select("cell", F.least(F.floor(F.log2("n") * 4), F.lit(126)).cast("int").alias("class")).toArrow()  # a row for each cell at most
+    table = _literal(COUNT_CELLS, found["cell"], found["class"], "int", 127)
 
     # A word as a number: its rarity class, then 54 bits of its hash.
     number = F.transform(_words(F.col("line")), lambda w: F.shiftleft(F.get(table, cell(w)).cast("long"), 54) + F.shiftrightunsigned(F.xxhash64(w), 10))
@@ -93,10 +96,7 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
         ends = pairs.select(*_ID).union(pairs.select("did2", "low2"))
         bit = F.xxhash64(*_ID).bitwiseAND(LINE_CELLS * 64 - 1)
         cells = ends.groupBy(F.shiftright(bit, 6).cast("int").alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(xxhash64(did, low) & 63 as int))")).alias("bits")).toArrow()  # a row for each cell at most
-        bits = [0] * LINE_CELLS
-        for c, b in zip(cells["cell"].to_pylist(), cells["bits"].to_pylist()):
-            bits[c] = b
-        needed = F.call_function("shiftrightunsigned", F.get(_literal(bits, "long"), F.shiftright(bit, 6).cast("int")), bit.bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
+        needed = F.call_function("shiftrightunsigned", F.get(_literal(LINE_CELLS, cells["cell"], cells["bits"], "long", 0), F.shiftright(bit, 6).cast("int")), bit.bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
         texts = _lines(docs, min_words).where(needed).join(ends.distinct(), _ID, "left_semi").distinct().select(*_ID, F.array_distinct(_words(F.col("line"))).alias("set"))
         texts = saved(texts, "lines")
         both = pairs.join(texts, _ID).join(texts.select(F.col("did").alias("did2"), F.col("low").alias("low2"), F.col("set").alias("set2")), ["did2", "low2"])

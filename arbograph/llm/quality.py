@@ -20,7 +20,7 @@ from .sampling import at_cut, best_cut, labelled_sample
 WORD_BITS, GRAM_BITS, GRAMS = 16, 16, (3, 4)
 DIM, EPOCHS, RATE = 10, 6, 0.5
 #: Most labelled documents that the training takes.
-SAMPLE = 4000
+SAMPLE = 2000
 _WORD = np.array([not (b == 0x20 or 0x09 <= b <= 0x0D) for b in range(256)])
 _FEATURES = pa.schema([("doc_id", pa.int64()), ("y", pa.int32()), ("at", pa.list_(pa.int32())), ("share", pa.list_(pa.float32()))])
 
@@ -106,7 +106,11 @@ def scored(docs: DataFrame, labels: DataFrame, column: str, train: Column | None
             yield record_batch(_FEATURES, part.column("doc_id"), part.column("y"), pa.array([a for a, _ in found], pa.list_(pa.int32())), pa.array([s for _, s in found], pa.list_(pa.float32())))
 
     rows = labelled_sample(docs, labels, "quality", F.lit(True) if train is None else train, sample).mapInArrow(gather, "doc_id long, y int, at array<int>, share array<float>").toArrow().sort_by("doc_id")
-    number, offset, cut = fit(list(zip((np.array(x, np.int32) for x in rows["at"].to_numpy()), (np.array(x, np.float32) for x in rows["share"].to_numpy()), rows["y"].to_pylist())))
+    at, share = (rows[c].combine_chunks() for c in ("at", "share"))
+    ends = at.offsets.to_numpy()
+    at, share = at.values.to_numpy(), share.values.to_numpy()
+    number, offset, cut = fit([(at[s:e], share[s:e], y) for s, e, y in zip(ends, ends[1:], rows["y"].to_pylist())])
+    del rows, at, share
     model = spark.sparkContext.broadcast((number, offset, cut))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
