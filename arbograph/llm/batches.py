@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -49,12 +50,21 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of what finished plans hold: Spark deletes a shuffle's files once the driver's JVM has collected its plan."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    spark.sparkContext._jvm.System.gc()
+
+
 def saved(df: DataFrame, label: str = "table") -> DataFrame:
     """df written once to the shared folder and read back: cuts the lineage and survives lost executors."""
-    spark = df.sparkSession
+    spark, schema = df.sparkSession, df.schema
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    del df
+    release(spark)
+    return spark.read.schema(schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

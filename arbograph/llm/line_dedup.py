@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .batches import saved
 
 #: Cells of the table of word counts, and of the bitmap of lines to verify; both are literals of fixed size.
-COUNT_CELLS, LINE_CELLS = 1 << 20, 1 << 16
+COUNT_CELLS, LINE_CELLS = 1 << 19, 1 << 16
 #: Postings of a word from which its lines are first compared with one line of their length.
 HOT = 256
 _ID = ["did", "low"]
@@ -91,17 +91,20 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
         """Of each later line the pair whose bitmaps differ least."""
         return pairs.groupBy(*_ID).agg(F.min(F.struct("far", "did2", "low2")).alias("b")).select(*_ID, "b.did2", "b.low2")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """(did, low) of the later lines of pairs that reach the threshold."""
+    def texts_of(pairs: DataFrame) -> DataFrame:
+        """(did, low, line) of all lines in pairs."""
         ends = pairs.select(*_ID).union(pairs.select("did2", "low2"))
         bit = F.xxhash64(*_ID).bitwiseAND(LINE_CELLS * 64 - 1)
         cells = ends.groupBy(F.shiftright(bit, 6).cast("int").alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(xxhash64(did, low) & 63 as int))")).alias("bits")).toArrow()  # a row for each cell at most
         needed = F.call_function("shiftrightunsigned", F.get(_literal(LINE_CELLS, cells["cell"], cells["bits"], "long", 0), F.shiftright(bit, 6).cast("int")), bit.bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
-        texts = _lines(docs, min_words).where(needed).join(ends.distinct(), _ID, "left_semi").distinct().select(*_ID, F.array_distinct(_words(F.col("line"))).alias("set"))
-        texts = saved(texts, "lines")
-        both = pairs.join(texts, _ID).join(texts.select(F.col("did").alias("did2"), F.col("low").alias("low2"), F.col("set").alias("set2")), ["did2", "low2"])
-        shared = F.size(F.array_intersect("set", "set2"))
-        return both.where(shared >= (F.size("set") + F.size("set2") - shared) * threshold - 1e-9).select(*_ID).distinct()
+        return saved(_lines(docs, min_words).where(needed).join(ends.distinct(), _ID, "left_semi").dropDuplicates(_ID), "lines")
+
+    def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        """(did, low) of the later lines of pairs that reach the threshold."""
+        both = pairs.join(texts, _ID).join(texts.select(F.col("did").alias("did2"), F.col("low").alias("low2"), F.col("line").alias("line2")), ["did2", "low2"])
+        both = both.select(*_ID, F.array_distinct(_words(F.col("line"))).alias("set"), F.array_distinct(_words(F.col("line2"))).alias("set2"))
+        both = both.withColumn("shared", F.size(F.array_intersect("set", "set2")))
+        return both.where(F.col("shared") >= (F.size("set") + F.size("set2") - F.col("shared")) * threshold - 1e-9).select(*_ID).distinct()
 
     all_ = postings(classes)
     crowded = saved(all_.groupBy("w").agg(F.count("*").alias("m")).where(F.col("m") > hot).select("w"), "hot")
@@ -112,13 +115,15 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
         among = saved(all_.join(crowded, "w", "left_semi"), "crowd")
         lead = among.groupBy("w", "n").agg(F.min(F.struct(*_ID, "i", "bits")).alias("c")).select("w", "n", "c.*")
         led = among.alias("a").join(lead.alias("b"), (F.col("a.w") == F.col("b.w")) & (F.col("a.n") == F.col("b.n")) & earlier).select(*pair, far)
-        done = saved(verified(saved(nearest(led), "leaders")), "settled")
+        led = saved(nearest(led), "leaders")
+        done = saved(verified(led, texts_of(led)), "settled")
         rest = among.join(done, _ID, "left_anti")
         pairs = pairs.union(rest.alias("a").join(among.alias("b"), (F.col("a.w") == F.col("b.w")) & earlier & possible("a", "b")).select(*pair, far))
     pairs = pairs.distinct() if done is None else pairs.distinct().join(done, _ID, "left_anti")
     pairs = saved(pairs, "candidates")
-    near = saved(verified(nearest(pairs)), "near")
-    matched = near.union(verified(saved(pairs.join(near, _ID, "left_anti"), "rest")))
+    texts = texts_of(pairs)
+    near = saved(verified(nearest(pairs), texts), "near")
+    matched = near.union(verified(pairs.join(near, _ID, "left_anti"), texts))
     return first, saved((matched if done is None else matched.union(done)).distinct(), "matched")
 
 
