@@ -21,7 +21,7 @@ from .batches import saved
 #: Cells of the table of word counts, and of the bitmap of lines to verify; both are literals of fixed size.
 COUNT_CELLS, LINE_CELLS = 1 << 19, 1 << 16
 #: Postings of a word from which its lines are first compared with one line of their length.
-HOT = 256
+HOT = 64
 _ID = ["did", "low"]
 _NULL_ID = -(1 << 63)
 
@@ -66,7 +66,7 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
     sets = lines.select(*_ID, F.unhex(F.md5("line")).alias("key"), F.sort_array(F.array_distinct(number)).alias("set"))
     n = F.size("set")
     prefix = F.slice("set", F.lit(1), n - F.ceil(n * threshold - 1e-9).cast("int") + 1)
-    signed = F.expr("aggregate(set, 0L, (a, w) -> a ^ shiftleft(1L, cast(w & 63L as int)))")
+    signed = F.expr("aggregate(set, named_struct('x', 0L, 'y', 0L), (a, w) -> if(w & 64L = 0L, named_struct('x', a.x ^ shiftleft(1L, cast(w & 63L as int)), 'y', a.y), named_struct('x', a.x, 'y', a.y ^ shiftleft(1L, cast(w & 63L as int)))))")
     slim = F.transform(prefix, lambda w: F.when(F.shiftright(w, 54) == 0, F.lit(None)).otherwise(w.bitwiseAND((1 << 32) - 1)))  # a word that no other line has finds nothing
     rows = sets.select(F.struct(*_ID).alias("id"), "key", n.alias("n"), signed.alias("bits"), slim.alias("prefix"))
     classes = rows.groupBy("key").agg(F.min(F.struct("id", "n", "bits", "prefix")).alias("c")).select("key", "c.id.did", "c.id.low", "c.n", "c.bits", "c.prefix")
@@ -77,15 +77,15 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
         """(did, low, n, bits, i, w): each word of a prefix and its place."""
         return of.select(*_ID, "n", "bits", F.posexplode("prefix").alias("i", "w")).where("w is not null")
 
-    def possible(a: str, b: str) -> Column:
-        """Length, position and bitmap filters of the pair; none drops a pair at the threshold."""
-        x, y, i, j = F.col(f"{a}.n"), F.col(f"{b}.n"), F.col(f"{a}.i"), F.col(f"{b}.i")
-        least = F.ceil((x + y) * (threshold / (1 + threshold)) - 1e-9)
-        return (F.least(x, y) >= F.greatest(x, y) * threshold - 1e-9) & (F.least(i, j) + 1 + F.least(x - i - 1, y - j - 1) >= least) & (F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits"))) <= x + y - 2 * least)
+    # Length, position and bitmap filters of a pair (the bitmaps differ in no more bits than the sets in words); none drops a pair at the threshold.
+    apart = F.bit_count(F.col("a.bits.x").bitwiseXOR(F.col("b.bits.x"))) + F.bit_count(F.col("a.bits.y").bitwiseXOR(F.col("b.bits.y")))
+    x, y, i, j = F.col("a.n"), F.col("b.n"), F.col("a.i"), F.col("b.i")
+    least = F.ceil((x + y) * (threshold / (1 + threshold)) - 1e-9)
+    possible = (F.least(x, y) >= F.greatest(x, y) * threshold - 1e-9) & (F.least(i, j) + 1 + F.least(x - i - 1, y - j - 1) >= least) & (apart <= x + y - 2 * least)
 
     pair = [F.col("a.did").alias("did"), F.col("a.low").alias("low"), F.col("b.did").alias("did2"), F.col("b.low").alias("low2")]
     earlier = F.struct("b.did", "b.low") < F.struct("a.did", "a.low")
-    far = F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits"))).alias("far")
+    far = apart.alias("far")
 
     def nearest(pairs: DataFrame) -> DataFrame:
         """Of each later line the pair whose bitmaps differ least."""
@@ -109,7 +109,7 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
     all_ = postings(classes)
     crowded = saved(all_.groupBy("w").agg(F.count("*").alias("m")).where(F.col("m") > hot).select("w"), "hot")
     pairs = all_.join(crowded, "w", "left_anti")
-    pairs = pairs.alias("a").join(pairs.alias("b"), (F.col("a.w") == F.col("b.w")) & earlier & possible("a", "b")).select(*pair, far)
+    pairs = pairs.alias("a").join(pairs.alias("b"), (F.col("a.w") == F.col("b.w")) & earlier & possible).select(*pair, far)
     done = None
     if not crowded.isEmpty():
         among = saved(all_.join(crowded, "w", "left_semi"), "crowd")
@@ -118,7 +118,7 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
         led = saved(nearest(led), "leaders")
         done = saved(verified(led, texts_of(led)), "settled")
         rest = among.join(done, _ID, "left_anti")
-        pairs = pairs.union(rest.alias("a").join(among.alias("b"), (F.col("a.w") == F.col("b.w")) & earlier & possible("a", "b")).select(*pair, far))
+        pairs = pairs.union(rest.alias("a").join(among.alias("b"), (F.col("a.w") == F.col("b.w")) & earlier & possible).select(*pair, far))
     pairs = pairs.distinct() if done is None else pairs.distinct().join(done, _ID, "left_anti")
     pairs = saved(pairs, "candidates")
     texts = texts_of(pairs)

@@ -40,7 +40,7 @@ class PieceCoder:
             and not model.trainer_spec.treat_whitespace_as_suffix and not any(MARK in p.piece.lstrip(MARK) or p.type == 4 for p in model.pieces)
         )
         self.mark, self.ends = self.lib.piece_to_id(MARK), (self.lib.bos_id(), self.lib.eos_id())
-        self.table = ChunkTable(self._segment)
+        self.table = ChunkTable(self._segment, limit=150_000)
 
     def _segment(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Chunks without their first space, which the library puts in front itself, except before nothing."""
