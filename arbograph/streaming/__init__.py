@@ -1,0 +1,2 @@
+"""Inventories are finite snapshots: nothing here streams. A directory of snapshots can be read with
+``spark.readStream`` and the same column functions (``arbograph.functions.paths``), as they are stateless."""
