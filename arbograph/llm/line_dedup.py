@@ -12,16 +12,20 @@ what that settles is not compared again.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .batches import saved
+from .batches import discard, saved
 
 #: Cells of the table of word counts, and of the bitmap of lines to verify; both are literals of fixed size.
 COUNT_CELLS, LINE_CELLS = 1 << 19, 1 << 16
 #: Postings of a word from which its lines are first compared with one line of their length.
 HOT = 64
+#: Rounds of the join, each over a part of the words; crowded words beyond so many (16 MB) are joined by a shuffle.
+PARTS, BROADCAST_ROWS = 4, 1_000_000
 _ID = ["did", "low"]
 _NULL_ID = -(1 << 63)
 
@@ -69,19 +73,19 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
     signed = F.expr("aggregate(set, named_struct('x', 0L, 'y', 0L), (a, w) -> if(w & 64L = 0L, named_struct('x', a.x ^ shiftleft(1L, cast(w & 63L as int)), 'y', a.y), named_struct('x', a.x, 'y', a.y ^ shiftleft(1L, cast(w & 63L as int)))))")
     slim = F.transform(prefix, lambda w: F.when(F.shiftright(w, 54) == 0, F.lit(None)).otherwise(w.bitwiseAND((1 << 32) - 1)))  # a word that no other line has finds nothing
     rows = sets.select(F.struct(*_ID).alias("id"), "key", n.alias("n"), signed.alias("bits"), slim.alias("prefix"))
-    classes = rows.groupBy("key").agg(F.min(F.struct("id", "n", "bits", "prefix")).alias("c")).select("key", "c.id.did", "c.id.low", "c.n", "c.bits", "c.prefix")
+    classes = rows.groupBy("key").agg(F.min(F.struct("id", "n", "bits", "prefix")).alias("c")).select("key", "c.id.did", "c.id.low", "c.n", F.col("c.bits.x").alias("x"), F.col("c.bits.y").alias("y"), "c.prefix")
     classes = saved(classes, "classes")
     first = classes.select("key", *_ID)
 
     def postings(of: DataFrame) -> DataFrame:
-        """(did, low, n, bits, i, w): each word of a prefix and its place."""
-        return of.select(*_ID, "n", "bits", F.posexplode("prefix").alias("i", "w")).where("w is not null")
+        """(did, low, n, x, y, i, w): each word of a prefix and its place."""
+        return of.select(*_ID, "n", "x", "y", F.posexplode("prefix").alias("i", "w")).where("w is not null")
 
     # Length, position and bitmap filters of a pair (the bitmaps differ in no more bits than the sets in words); none drops a pair at the threshold.
-    apart = F.bit_count(F.col("a.bits.x").bitwiseXOR(F.col("b.bits.x"))) + F.bit_count(F.col("a.bits.y").bitwiseXOR(F.col("b.bits.y")))
-    x, y, i, j = F.col("a.n"), F.col("b.n"), F.col("a.i"), F.col("b.i")
-    least = F.ceil((x + y) * (threshold / (1 + threshold)) - 1e-9)
-    possible = (F.least(x, y) >= F.greatest(x, y) * threshold - 1e-9) & (F.least(i, j) + 1 + F.least(x - i - 1, y - j - 1) >= least) & (apart <= x + y - 2 * least)
+    apart = F.bit_count(F.col("a.x").bitwiseXOR(F.col("b.x"))) + F.bit_count(F.col("a.y").bitwiseXOR(F.col("b.y")))
+    m, n, i, j = F.col("a.n"), F.col("b.n"), F.col("a.i"), F.col("b.i")
+    least = F.ceil((m + n) * (threshold / (1 + threshold)) - 1e-9)
+    possible = (F.least(m, n) >= F.greatest(m, n) * threshold - 1e-9) & (F.least(i, j) + 1 + F.least(m - i - 1, n - j - 1) >= least) & (apart <= m + n - 2 * least)
 
     pair = [F.col("a.did").alias("did"), F.col("a.low").alias("low"), F.col("b.did").alias("did2"), F.col("b.low").alias("low2")]
     earlier = F.struct("b.did", "b.low") < F.struct("a.did", "a.low")
@@ -106,25 +110,39 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
         both = both.withColumn("shared", F.size(F.array_intersect("set", "set2")))
         return both.where(F.col("shared") >= (F.size("set") + F.size("set2") - F.col("shared")) * threshold - 1e-9).select(*_ID).distinct()
 
-    all_ = postings(classes)
-    crowded = saved(all_.groupBy("w").agg(F.count("*").alias("m")).where(F.col("m") > hot).select("w"), "hot")
-    pairs = all_.join(crowded, "w", "left_anti")
-    pairs = pairs.alias("a").join(pairs.alias("b"), (F.col("a.w") == F.col("b.w")) & earlier & possible).select(*pair, far)
-    done = None
-    if not crowded.isEmpty():
-        among = saved(all_.join(crowded, "w", "left_semi"), "crowd")
-        lead = among.groupBy("w", "n").agg(F.min(F.struct(*_ID, "i", "bits")).alias("c")).select("w", "n", "c.*")
-        led = among.alias("a").join(lead.alias("b"), (F.col("a.w") == F.col("b.w")) & (F.col("a.n") == F.col("b.n")) & earlier).select(*pair, far)
-        led = saved(nearest(led), "leaders")
-        done = saved(verified(led, texts_of(led)), "settled")
-        rest = among.join(done, _ID, "left_anti")
-        pairs = pairs.union(rest.alias("a").join(among.alias("b"), (F.col("a.w") == F.col("b.w")) & earlier & possible).select(*pair, far))
-    pairs = pairs.distinct() if done is None else pairs.distinct().join(done, _ID, "left_anti")
-    pairs = saved(pairs, "candidates")
+    crowded = saved(postings(classes).groupBy("w").agg(F.count("*").alias("m")).where(F.col("m") > hot).select("w"), "hot")
+    n_crowded = crowded.count()
+    known = F.broadcast(crowded) if n_crowded <= BROADCAST_ROWS else crowded
+    share = lambda part: postings(classes).where(F.pmod(F.xxhash64("w"), F.lit(PARTS)) == part)
+    crowds, done = [], None
+    if n_crowded:
+        crowds = [saved(share(part).join(known, "w", "left_semi"), "crowd") for part in range(PARTS)]
+        led = []
+        for among in crowds:
+            lead = among.groupBy("w", "n").agg(F.min(F.struct(*_ID, "x", "y")).alias("c")).select("w", "n", "c.*")
+            led.append(saved(nearest(among.alias("a").join(lead.alias("b"), (F.col("a.w") == F.col("b.w")) & (F.col("a.n") == F.col("b.n")) & earlier).select(*pair, far)), "leaders"))
+        best = saved(nearest(reduce(DataFrame.union, led).withColumn("far", F.lit(0))), "leaders")
+        texts = texts_of(best)
+        done = saved(verified(best, texts), "settled")
+        discard(texts)
+    found = []
+    for part in range(PARTS):  # a part of the words at a time: what is shuffled at once is bounded by the parts
+        mine = share(part).join(known, "w", "left_anti") if n_crowded else share(part)
+        pairs = mine.alias("a").join(mine.alias("b"), (F.col("a.w") == F.col("b.w")) & earlier & possible).select(*pair, far)
+        if n_crowded:
+            rest = crowds[part].join(done, _ID, "left_anti")
+            pairs = pairs.union(rest.alias("a").join(crowds[part].alias("b"), (F.col("a.w") == F.col("b.w")) & earlier & possible).select(*pair, far)).join(done, _ID, "left_anti")
+        found.append(saved(pairs.distinct(), "candidates"))
+        if n_crowded:
+            discard(crowds[part])
+    pairs = saved(reduce(DataFrame.union, found).distinct(), "candidates")
     texts = texts_of(pairs)
     near = saved(verified(nearest(pairs), texts), "near")
     matched = near.union(verified(pairs.join(near, _ID, "left_anti"), texts))
-    return first, saved((matched if done is None else matched.union(done)).distinct(), "matched")
+    matched = saved((matched if done is None else matched.union(done)).distinct(), "matched")
+    for used in (*found, pairs, texts):
+        discard(used)
+    return first, matched
 
 
 def _kept(docs: DataFrame, threshold: float, min_words: int) -> DataFrame:
