@@ -85,7 +85,8 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
     apart = F.bit_count(F.col("a.x").bitwiseXOR(F.col("b.x"))) + F.bit_count(F.col("a.y").bitwiseXOR(F.col("b.y")))
     m, n, i, j = F.col("a.n"), F.col("b.n"), F.col("a.i"), F.col("b.i")
     least = F.ceil((m + n) * (threshold / (1 + threshold)) - 1e-9)
-    possible = (F.least(m, n) >= F.greatest(m, n) * threshold - 1e-9) & (F.least(i, j) + 1 + F.least(m - i - 1, n - j - 1) >= least) & (apart <= m + n - 2 * least)
+    plausible = (F.least(m, n) >= F.greatest(m, n) * threshold - 1e-9) & (apart <= m + n - 2 * least)
+    possible = plausible & (F.least(i, j) + 1 + F.least(m - i - 1, n - j - 1) >= least)
 
     pair = [F.col("a.did").alias("did"), F.col("a.low").alias("low"), F.col("b.did").alias("did2"), F.col("b.low").alias("low2")]
     earlier = F.struct("b.did", "b.low") < F.struct("a.did", "a.low")
@@ -120,7 +121,7 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
         led = []
         for among in crowds:
             lead = among.groupBy("w", "n").agg(F.min(F.struct(*_ID, "x", "y")).alias("c")).select("w", "n", "c.*")
-            led.append(saved(nearest(among.alias("a").join(lead.alias("b"), (F.col("a.w") == F.col("b.w")) & (F.col("a.n") == F.col("b.n")) & earlier).select(*pair, far)), "leaders"))
+            led.append(saved(nearest(among.alias("a").join(lead.alias("b"), (F.col("a.w") == F.col("b.w")) & (F.col("a.n") == F.col("b.n")) & earlier & plausible).select(*pair, far)), "leaders"))
         best = saved(nearest(reduce(DataFrame.union, led).withColumn("far", F.lit(0))), "leaders")
         texts = texts_of(best)
         done = saved(verified(best, texts), "settled")
