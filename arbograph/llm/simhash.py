@@ -69,7 +69,7 @@ def _split(free: list[int], d: int) -> list[int]:
 def local_forest(fps: np.ndarray, ids: np.ndarray, d: int) -> tuple[np.ndarray, np.ndarray]:
     """(id, smallest id of its component) within one bucket, for ids that are not the smallest themselves."""
     order = np.argsort(ids, kind="stable")
-    fps, ids = fps[order], ids[order]
+    fps, ids = fps[order].view(np.uint64), ids[order]  # bits of negative numbers would be counted without their sign
     label, n = np.arange(len(fps)), len(fps)
     step = max(1, (1 << 21) // n)
     ends = [np.nonzero(np.bitwise_count(fps[at : at + step, None] ^ fps[None, :]) <= d) for at in range(0, n, step)]
