@@ -22,6 +22,8 @@ WINDOW, STRIDE, HIDDEN = 24, 12, 8
 WORD_BITS, GRAM_BITS, GRAMS = 14, 15, (4, 6)
 WORD_DIM, GRAM_DIM = 6, 8
 EPOCHS, RATE, BATCH = 8, 0.01, 1024
+#: Small samples are passed more often, up to about so many steps.
+LEAST_STEPS = 150
 #: Most labelled documents that the training takes.
 SAMPLE = 4000
 _WORD = np.array([0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 for b in range(256)])
@@ -199,7 +201,7 @@ def fit(texts: list[str], y: list[int], seed: int = 11) -> Network:
     rng, mean, square, step = np.random.default_rng(seed), {k: np.zeros_like(v) for k, v in net.p.items()}, {k: np.zeros_like(v) for k, v in net.p.items()}, 0
     rare = 0.5 * len(train) / max(1, labels[train].sum())
     plans = []
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, min(100, -(-LEAST_STEPS * BATCH // sum(size.values()))))):
         batch, n = [], 0
         for i in rng.permutation(train).tolist():
             batch.append(i)
