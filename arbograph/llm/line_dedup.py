@@ -133,11 +133,12 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
         pairs = mine.alias("a").join(mine.alias("b"), (F.col("a.w") == F.col("b.w")) & earlier & possible).select(*pair, far)
         if n_crowded:
             rest = crowds[part].join(done, _ID, "left_anti")
-            pairs = pairs.union(rest.alias("a").join(crowds[part].alias("b"), (F.col("a.w") == F.col("b.w")) & earlier & possible).select(*pair, far)).join(done, _ID, "left_anti")
+            pairs = pairs.union(rest.alias("a").join(crowds[part].alias("b"), (F.col("a.w") == F.col("b.w")) & earlier & possible).select(*pair, far))
         found.append(saved(pairs.distinct(), "candidates"))
         if n_crowded:
             discard(crowds[part])
-    pairs = saved(reduce(DataFrame.union, found).distinct(), "candidates")
+    pairs = reduce(DataFrame.union, found).distinct()  # a pair that shares many words is one row before settled lines leave
+    pairs = saved(pairs if done is None else pairs.join(done, _ID, "left_anti"), "candidates")
     texts = texts_of(pairs)
     near = saved(verified(nearest(pairs), texts), "near")
     matched = near.union(verified(pairs.join(near, _ID, "left_anti"), texts))
