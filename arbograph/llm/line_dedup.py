@@ -23,7 +23,7 @@ from .batches import discard, saved
 #: Cells of the table of word counts, and of the bitmap of lines to verify; both are literals of fixed size.
 COUNT_CELLS, LINE_CELLS = 1 << 19, 1 << 16
 #: Postings of a word from which its lines are first compared with one line of their length. That takes three more
-#: shuffles of a posting, about 6 us; comparing it with its whole word takes about 30 ns for every two postings.
+#: shuffles of a posting, which pays for large groups of copies only; the number is an estimate, not measured.
 HOT = 512
 #: Rounds of the join, each over a part of the words; crowded words beyond so many (16 MB) are joined by a shuffle.
 PARTS, BROADCAST_ROWS = 4, 1_000_000
