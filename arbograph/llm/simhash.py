@@ -18,11 +18,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from . import shingles
 from .batches import record_batch, saved, text_chunks
 from .components import connected_components
 
 SEED = 42
 _FP = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+_ROWS = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("fp", pa.int64()), ("key", pa.int64()), ("n", pa.int32()), ("prefix", pa.list_(pa.int64()))])
 _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -130,10 +132,34 @@ def near_duplicates(docs: DataFrame, k: int = 5, max_distance: int = 3, bucket:
     return fps.join(named, "fp", "left").select("doc_id", "fp", "component_id")
 
 
-def deduplicate(docs: DataFrame, k: int = 5, max_distance: int = 3) -> DataFrame:
-    """The rows of docs that are the representative (smallest doc_id) of their group; of rows with an equal doc_id one stays.
+def deduplicate(docs: DataFrame, k: int = 5, max_distance: int = 3, similarity: float | None = None) -> DataFrame:
+    """One row of docs of each group: the one with the smallest doc_id (null last), of those the smallest hash of the text.
 
-    Texts without a word are one group. Rows with a null doc_id can't be told apart and go.
+    Texts link if their fingerprints differ in at most max_distance bits or, with similarity, if their sets of k-word
+    shingles have at least that Jaccard similarity, whatever their fingerprints. Each row is judged by its own text, so
+    rows with a null or repeated doc_id count like others. Texts without a word are one group.
     """
-    first = near_duplicates(docs, k, max_distance).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(first, "doc_id", "left_semi").select(*docs.columns)
+    known, classes = (np.zeros(0, np.int64),) * 2 if similarity is None else shingles.common_shingles(docs, k)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in text_chunks(batches):
+            fps = np.array([fingerprint(t, k) for t in texts], np.uint64).view(np.int64)
+            sets = [] if similarity is None else list(shingles.shingle_sets(texts, k))
+            keys = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets] or [0] * len(texts), np.uint64).view(np.int64)
+            prefixes = [shingles.prefix(s, similarity, known, classes) for s in sets] or [None] * len(texts)
+            yield record_batch(_ROWS, part.column("doc_id"), part.column("node"), fps, keys, np.array([len(s) for s in sets] or [0] * len(texts), np.int32), pa.array(prefixes, pa.list_(pa.int64())))
+
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), shingles.text_hash(docs).alias("node"), text.alias("text"))
+    rows = saved(rows.mapInArrow(run, "doc_id long, node long, fp long, key long, n int, prefix array<long>"), "fingerprints")
+    nodes = saved(rows.groupBy("fp").agg(F.min("node").alias("id")), "nodes")
+    edges = [link_edges(nodes, max_distance), rows.join(nodes, "fp").select(F.col("node").alias("a"), F.col("id").alias("b"))]
+    if similarity is not None:
+        sets = saved(rows.groupBy("key").agg(F.min(F.struct("node", "n", "prefix")).alias("x")).select("key", "x.*"), "sets")
+        edges.append(rows.select("key", F.col("node").alias("a")).join(sets.select("key", F.col("node").alias("b")), "key").select("a", "b"))
+        edges.append(shingles.similar_edges(docs, sets.where("n > 0"), k, similarity))
+    parts = connected_components(reduce(DataFrame.union, edges), "links")
+    named = rows.select("doc_id", "node").join(parts, "node", "left").select("doc_id", "node", F.coalesce("component", "node").alias("component"))
+    first = named.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("x")).select(F.xxhash64("x.node", "x.doc_id").alias("__row"))
+    keyed = docs.withColumn("__row", F.xxhash64(shingles.text_hash(docs), F.col("doc_id").cast("long")))
+    return keyed.join(first, "__row", "left_semi").dropDuplicates(["__row"]).select(*docs.columns)  # repeated rows are one

@@ -20,8 +20,9 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document stays of each group linked by fingerprints of five-word shingles at three or fewer differing bits."""
-    return simhash.deduplicate(docs, k=5, max_distance=3)
+    """One document stays of each group linked by five-word shingles: fingerprints at three or fewer differing bits, or a
+    Jaccard similarity of 0.8 or more."""
+    return simhash.deduplicate(docs, k=5, max_distance=3, similarity=0.8)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
