@@ -15,8 +15,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of five words or more that match an earlier line go, and documents of which nothing is left."""
-    return line_dedup.dedup_lines(docs)
+    """Lines of one word or more that match an earlier line go, and documents of which nothing is left."""
+    return line_dedup.dedup_lines(docs, min_words=1)
 
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
