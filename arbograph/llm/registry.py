@@ -49,7 +49,7 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+    return line_dedup.line_report(table(spark, sf_dir, "documents"), min_words=1)
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
