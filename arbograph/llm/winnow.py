@@ -132,6 +132,7 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs without a word inside a benchmark window; rows with a null doc_id are judged together."""
-    hit = report(docs, benchmark).where("contaminated").select("doc_id").distinct()
-    return docs.join(hit.withColumnRenamed("doc_id", "hit_id"), F.col("doc_id").eqNullSafe(F.col("hit_id")), "left_anti").select(*docs.columns)
+    """The rows of docs without a word inside a benchmark window, each judged by its own text, whatever its doc_id."""
+    own = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    hit = report(docs.select(own.alias("doc_id"), "text"), benchmark).where("contaminated").select(F.col("doc_id").alias("__hit")).distinct()
+    return docs.join(hit, own == F.col("__hit"), "left_anti").select(*docs.columns)
