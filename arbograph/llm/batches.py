@@ -2,22 +2,33 @@
 
 from __future__ import annotations
 
-import gc
+import contextlib
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: UTF-8 bytes of text that a worker holds as Python objects at a time (one longer text is held alone).
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with at most ``limit`` bytes of text, or one row."""
+    """Slices of the batches with at most ``limit`` bytes of text, or one row. A worker that is used again gives back what
+    it has freed."""
+    try:
+        yield from _slices(batches, column, limit)
+    finally:
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+            ctypes.CDLL(None).malloc_trim(0)
+
+
+def _slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(column)
         if not len(batch):
@@ -50,25 +61,52 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def release(spark: SparkSession) -> None:
-    """Let go of what finished plans hold: Spark deletes a shuffle's files once the driver's JVM has collected its plan."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    spark.sparkContext._jvm.System.gc()
+#: Spark deletes a query's shuffle files at its end, not when the driver happens to collect its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def saved(df: DataFrame, label: str = "table") -> DataFrame:
     """df written once to the shared folder and read back: cuts the lineage and survives lost executors."""
     spark, schema = df.sparkSession, df.schema
-    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    del df
-    release(spark)
+    path, before = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}", spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(schema).parquet(path)
     out._scratch = path
     return out
 
 
+#: Rows of a few numbers that are broadcast at most (16 MB for one number).
+BROADCAST_ROWS = 1_000_000
+
+
+def small(rows: DataFrame) -> DataFrame:
+    """A saved table, to be broadcast if its checked size allows it; else it is joined by a shuffle."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def columns(df: DataFrame) -> list[Column]:
+    """All columns of df, whatever their names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """df.mapInArrow, which takes no column with a dot in its name."""
+    names = df.columns
+    return df.toDF(*(f"c{i}" for i in range(len(names)))).mapInArrow(lambda batches: run(b.rename_columns(names) for b in batches), schema)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, longer if df has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a table from ``saved`` that nothing will read again."""
     jvm = df.sparkSession.sparkContext._jvm

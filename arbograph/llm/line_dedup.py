@@ -1,51 +1,49 @@
 """Line deduplication by an exact set-similarity join, with DataFrame functions only.
 
 A line is a set of words; a later line goes if an earlier one, kept or not, has a Jaccard similarity of at least the
-threshold. Equal lines are one class first, so that the join sees each line once. The words of a class are ordered by
-rarity, from counts of all words of the corpus in a table of fixed size (words that share a cell share its count; any
-order gives the same matches). Classes that share a word of their prefixes are candidates if length, position and a
-bitmap of the sets allow the threshold; candidates are verified on the words themselves.
-
-Words with many postings don't pair all of them: first each line is compared with the first line of its length, and
-what that settles is not compared again.
+threshold. Lines with equal sets are one class first. The words of a class are ordered by rarity, from counts over the
+whole corpus in a table of fixed size (words that share a cell share its count; any order gives the same matches). Two
+classes at the threshold share a word of their prefixes; length, position and bitmap filters drop pairs inside the join,
+and what is left is verified on the words themselves.
+
+A word that is too common to be a key alone is one with each common word behind it: sets that share l words share l words
+of prefixes that are l - 1 words longer; keys of two words that are still crowded get a third. Before the join, each line is
+compared with the first line of its length that has the same rare words; what that settles is not the later line of a pair
+again, so large groups of copies make no pair for each two of them.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .batches import discard, saved
-
-#: Cells of the table of word counts, and of the bitmap of lines to verify; both are literals of fixed size.
-COUNT_CELLS, LINE_CELLS = 1 << 19, 1 << 16
-#: Postings of a word from which its lines are first compared with one line of their length. That takes three more
-#: shuffles of a posting, which pays for large groups of copies only; the number is an estimate, not measured.
-HOT = 512
-#: Rounds of the join, each over a part of the words; crowded words beyond so many (16 MB) are joined by a shuffle.
-PARTS, BROADCAST_ROWS = 4, 1_000_000
-_ID = ["did", "low"]
+from .batches import columns, discard, saved, small
+
+#: log2 of the cells of the table of word counts (a byte each).
+CELL_BITS = 21
+#: Occurrences from which a word is no key alone, and lines from which a key of two words is crowded. On our machine a row
+#: more in the join takes 2 microseconds, a pair tested 0.01: so many tests for a row cost up to twice its five to ten keys.
+HOT = 4096
+#: The join's rows are made in so many rounds, each over a part of the keys.
+PARTS = 2
+#: Sets with fewer words get a bitmap of 64 bits, others of 128.
+WIDE = 64
 _NULL_ID = -(1 << 63)
+_DOC = ["did", "th", "th2"]
+_KEY = ["node", "key2"]
+#: What a row of the join carries beside its key.
+_ROW = ["node", "x", "y", "did", "po"]
 
 
-def _literal(cells: int, at: pa.ChunkedArray, values: pa.ChunkedArray, kind: str, rest: int) -> Column:
-    """A constant array of fixed length, parsed from one string, as a million literals would be slow to build."""
-    found = np.full(cells, rest, np.int64)
-    found[at.to_numpy()] = values.to_numpy()
-    names, place = np.unique(found, return_inverse=True)
-    names = [str(x) for x in names.tolist()]
-    return F.split(F.lit(",".join(map(names.__getitem__, place))), ",").cast(f"array<{kind}>")
+def _text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
 
 
-def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """(did, low, line) of every line with min_words words or more, in lower case; (did, low) orders lines by doc_id (null
-    first), line number and a hash of the text, so that rows with an equal doc_id stay apart and repeated rows fall together."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("did"), F.xxhash64(text).bitwiseAND((1 << 32) - 1).alias("th"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
-    return rows.where(_worded(F.col("line"), min_words)).select("did", (F.shiftleft(F.col("pos").cast("long"), 32) + F.col("th")).alias("low"), F.lower("line").alias("line"))
+def _keyed() -> dict[str, Column]:
+    """did (null: the least number) and 128 bits of the text, which tell rows apart that share a doc_id or have none."""
+    return {"did": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)), "th": F.xxhash64(_text()), "th2": F.xxhash64(F.lit(1), _text())}
 
 
 def _worded(line: Column, min_words: int) -> Column:
@@ -53,116 +51,203 @@ def _worded(line: Column, min_words: int) -> Column:
     return line.rlike(f"^[ \\t-\\r]*+(?:[^ \\t-\\r]++[ \\t-\\r]++){{{min_words - 1}}}[^ \\t-\\r]")
 
 
+def _split(line: Column) -> Column:
+    """Words, and empty strings between separators."""
+    return F.when(line.rlike("[\\t-\\r]"), F.split(line, "[ \\t-\\r]+")).otherwise(F.split(line, " "))  # one character splits fast
+
+
 def _words(line: Column) -> Column:
-    return F.array_remove(F.when(line.rlike("[\\t-\\r]"), F.split(line, "[ \\t-\\r]+")).otherwise(F.split(line, " ")), "")  # one character splits fast
+    return F.array_remove(_split(line), "")
 
 
-def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """(first, matched) for the lines of docs(doc_id, text): first has the class key and the first line of each class,
-    matched the (did, low) of first lines that match an earlier line of another class."""
-    lines = _lines(docs, min_words)
-    cell = lambda w: F.xxhash64(w).bitwiseAND(COUNT_CELLS - 1).cast("int")
-    counts = lines.select(F.explode(_words(F.col("line"))).alias("w")).groupBy(cell(F.col("w")).alias("cell")).agg(F.count("*").alias("n"))
-    found = counts.select("cell", F.least(F.floor(F.log2("n") * 4), F.lit(126)).cast("int").alias("class")).toArrow()  # a row for each cell at most
-    table = _literal(COUNT_CELLS, found["cell"], found["class"], "int", 127)
+def _class(n: int) -> int:
+    return math.floor(math.log2(n) * 4 + 1e-9)
+
+
+def word_classes(docs: DataFrame) -> DataFrame:
+    """One row with an array: of each cell the rarity class, the logarithm of how often its words are in all texts."""
+    spark, mask, low = docs.sparkSession, (1 << CELL_BITS) - 1, CELL_BITS // 2
+    words = docs.select(F.explode(_split(F.replace(F.lower(_text()), F.lit("\n"), F.lit(" ")))).alias("w")).where("w <> ''")
+    cells = words.select(F.xxhash64("w").bitwiseAND(mask).cast("int").alias("cell"))
+    cells = cells.union(spark.range(1 << CELL_BITS).select(F.col("id").cast("int"))).groupBy("cell").agg(F.count("*").alias("n"))  # each cell once
+    rows = cells.select(F.shiftright("cell", low).alias("hi"), F.struct("cell", F.least(F.floor(F.log2(F.greatest(F.col("n") - 1, F.lit(1))) * 4 + 1e-9), F.lit(126)).cast("tinyint").alias("class")).alias("c"))
+    rows = rows.groupBy("hi").agg(F.transform(F.sort_array(F.collect_list("c")), lambda c: c["class"]).alias("part"))  # 2 ** low cells in each
+    return saved(rows.agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("hi", "part"))), lambda c: c["part"])).alias("table")), "rarity")
+
+
+def _lines(docs: DataFrame, min_words: int) -> DataFrame:
+    """(did, th, th2, pos, line) of every line with min_words words or more, in lower case."""
+    rows = docs.select(*(v.alias(k) for k, v in _keyed().items()), _text().alias("text"))  # hashed once for a text, not for a line
+    rows = rows.select(*_DOC, F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    return rows.where(_worded(F.col("line"), min_words)).withColumn("line", F.lower("line"))
 
-    # A word as a number: its rarity class, then 54 bits of its hash.
-    number = F.transform(_words(F.col("line")), lambda w: F.shiftleft(F.get(table, cell(w)).cast("long"), 54) + F.shiftrightunsigned(F.xxhash64(w), 10))
-    sets = lines.select(*_ID, F.unhex(F.md5("line")).alias("key"), F.sort_array(F.array_distinct(number)).alias("set"))
+
+def line_classes(docs: DataFrame, threshold: float, min_words: int, levels: int) -> DataFrame:
+    """(node, key2, did, pos, th, th2, n, x, y, prefix) of the first line of each class of equal sets.
+
+    node and key2 are 128 bits of the set, of n words; x a bitmap of it, y the half of
+    its words that a larger bitmap of WIDE sets has apart; prefix its rarest words as numbers, rarity
+    class in the high bits; lines are ordered by doc_id (null first), line number and a hash of the text.
+    """
+    table, mask = word_classes(docs), (1 << CELL_BITS) - 1
+    rows = _lines(docs, min_words).withColumn("hashes", F.array_distinct(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w)))).withColumn("table", table.scalar())
+    # The table has one use, so the optimizer puts the subquery there and no row carries it.
+    number = F.transform("hashes", lambda h: F.shiftleft(F.get("table", h.bitwiseAND(mask).cast("int")).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8)))
+    rows = rows.select(*_DOC, "pos", F.sort_array(number).alias("set"))
     n = F.size("set")
-    prefix = F.slice("set", F.lit(1), n - F.ceil(n * threshold - 1e-9).cast("int") + 1)
-    signed = F.expr("aggregate(set, named_struct('x', 0L, 'y', 0L), (a, w) -> if(w & 64L = 0L, named_struct('x', a.x ^ shiftleft(1L, cast(w & 63L as int)), 'y', a.y), named_struct('x', a.x, 'y', a.y ^ shiftleft(1L, cast(w & 63L as int)))))")
-    slim = F.transform(prefix, lambda w: F.when(F.shiftright(w, 54) == 0, F.lit(None)).otherwise(w.bitwiseAND((1 << 32) - 1)))  # a word that no other line has finds nothing
-    rows = sets.select(F.struct(*_ID).alias("id"), "key", n.alias("n"), signed.alias("bits"), slim.alias("prefix"))
-    classes = rows.groupBy("key").agg(F.min(F.struct("id", "n", "bits", "prefix")).alias("c")).select("key", "c.id.did", "c.id.low", "c.n", F.col("c.bits.x").alias("x"), F.col("c.bits.y").alias("y"), "c.prefix")
-    classes = saved(classes, "classes")
-    first = classes.select("key", *_ID)
-
-    def postings(of: DataFrame) -> DataFrame:
-        """(did, low, n, x, y, i, w): each word of a prefix and its place."""
-        return of.select(*_ID, "n", "x", "y", F.posexplode("prefix").alias("i", "w")).where("w is not null")
-
-    # Length, position and bitmap filters of a pair (the bitmaps differ in no more bits than the sets in words); none drops a pair at the threshold.
-    apart = F.bit_count(F.col("a.x").bitwiseXOR(F.col("b.x"))) + F.bit_count(F.col("a.y").bitwiseXOR(F.col("b.y")))
-    m, n, i, j = F.col("a.n"), F.col("b.n"), F.col("a.i"), F.col("b.i")
-    least = F.ceil((m + n) * (threshold / (1 + threshold)) - 1e-9)
-    plausible = (F.least(m, n) >= F.greatest(m, n) * threshold - 1e-9) & (apart <= m + n - 2 * least)
-    possible = plausible & (F.least(i, j) + 1 + F.least(m - i - 1, n - j - 1) >= least)
-
-    pair = [F.col("a.did").alias("did"), F.col("a.low").alias("low"), F.col("b.did").alias("did2"), F.col("b.low").alias("low2")]
-    earlier = F.struct("b.did", "b.low") < F.struct("a.did", "a.low")
-    far = apart.alias("far")
-
-    def nearest(pairs: DataFrame) -> DataFrame:
-        """Of each later line the pair whose bitmaps differ least."""
-        return pairs.groupBy(*_ID).agg(F.min(F.struct("far", "did2", "low2")).alias("b")).select(*_ID, "b.did2", "b.low2")
-
-    def texts_of(pairs: DataFrame) -> DataFrame:
-        """(did, low, line) of all lines in pairs."""
-        ends = pairs.select(*_ID).union(pairs.select("did2", "low2"))
-        bit = F.xxhash64(*_ID).bitwiseAND(LINE_CELLS * 64 - 1)
-        cells = ends.groupBy(F.shiftright(bit, 6).cast("int").alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(xxhash64(did, low) & 63 as int))")).alias("bits")).toArrow()  # a row for each cell at most
-        needed = F.call_function("shiftrightunsigned", F.get(_literal(LINE_CELLS, cells["cell"], cells["bits"], "long", 0), F.shiftright(bit, 6).cast("int")), bit.bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
-        return saved(_lines(docs, min_words).where(needed).join(ends.distinct(), _ID, "left_semi").dropDuplicates(_ID), "lines")
-
-    def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-        """(did, low) of the later lines of pairs that reach the threshold."""
-        both = pairs.join(texts, _ID).join(texts.select(F.col("did").alias("did2"), F.col("low").alias("low2"), F.col("line").alias("line2")), ["did2", "low2"])
-        both = both.select(*_ID, F.array_distinct(_words(F.col("line"))).alias("set"), F.array_distinct(_words(F.col("line2"))).alias("set2"))
-        both = both.withColumn("shared", F.size(F.array_intersect("set", "set2")))
-        return both.where(F.col("shared") >= (F.size("set") + F.size("set2") - F.col("shared")) * threshold - 1e-9).select(*_ID).distinct()
-
-    crowded = saved(postings(classes).groupBy("w").agg(F.count("*").alias("m")).where(F.col("m") > hot).select("w"), "hot")
-    n_crowded = crowded.count()
-    known = F.broadcast(crowded) if n_crowded <= BROADCAST_ROWS else crowded
-    share = lambda part: postings(classes).where(F.pmod(F.xxhash64("w"), F.lit(PARTS)) == part)
-    crowds, done = [], None
-    if n_crowded:
-        crowds = [saved(share(part).join(known, "w", "left_semi"), "crowd") for part in range(PARTS)]
-        led = []
-        for among in crowds:
-            lead = among.groupBy("w", "n").agg(F.min(F.struct(*_ID, "x", "y")).alias("c")).select("w", "n", "c.*")
-            led.append(saved(nearest(among.alias("a").join(lead.alias("b"), (F.col("a.w") == F.col("b.w")) & (F.col("a.n") == F.col("b.n")) & earlier & plausible).select(*pair, far)), "leaders"))
-        best = saved(nearest(reduce(DataFrame.union, led).withColumn("far", F.lit(0))), "leaders")
-        texts = texts_of(best)
-        done = saved(verified(best, texts), "settled")
-        discard(texts)
+    bitmap = lambda one: F.expr(f"aggregate(set, 0L, (a, w) -> a ^ shiftleft({one}, cast(w & 63 as int)))")
+    prefix = F.slice("set", F.lit(1), F.when(n >= _least_shared(threshold), _prefix(n, threshold) + levels - 1).otherwise(0))
+    wide = F.struct("did", "pos", "th", "th2", n.alias("n"), bitmap("1L").alias("x"), F.when(n >= WIDE, bitmap("shiftright(w, 6) & 1L")).otherwise(F.lit(0).cast("long")).alias("y"), prefix.alias("prefix"))
+    rows = rows.select(F.xxhash64("set").alias("node"), F.xxhash64(F.lit(1), "set").alias("key2"), wide.alias("c"))
+    out = saved(rows.groupBy(*_KEY).agg(F.min("c").alias("c")).select(*_KEY, "c.*"), "classes")
+    discard(table)
+    return out
+
+
+def _least_shared(threshold: float) -> int:
+    """Words that two different sets at the threshold share at least."""
+    return math.ceil(threshold / max(1 - threshold, 1e-9) - 1e-6)
+
+
+def _prefix(n: Column, threshold: float) -> Column:
+    """Any two sets at the threshold share one of so many of their first words."""
+    return n - F.ceil(n * threshold - 1e-9).cast("int") + 1
+
+
+def _behind(rows: DataFrame, threshold: float, level: int) -> DataFrame:
+    """Keys of level words from rows (key k of one word less, its last word's place at, prefix): one for each word behind it."""
+    size = _prefix(F.col("n"), threshold) + level - 2 - F.col("at")
+    rows = rows.select(*_ROW, "n", "k", "at", F.posexplode(F.slice("prefix", F.col("at") + 2, size)).alias("more", "v"))
+    return rows.select(*_ROW, "n", F.xxhash64("k", "v").alias("k"), (F.col("at") + 1 + F.col("more")).alias("at"))
+
+
+def _packed(rows: DataFrame, level: int) -> DataFrame:
+    """(k, _ROW, nd): nd holds n, and how many of the words up to the key's last one are not in the key."""
+    return rows.select("k", *_ROW, F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR((F.col("at") + 1 - level).cast("long")).alias("nd"))
+
+
+def _apart() -> Column:
+    """In how many bits the bitmaps of a pair differ: no more than the sets in words, as a word turns one bit."""
+    low, high = F.col("a.x").bitwiseXOR(F.col("b.x")), F.col("a.y").bitwiseXOR(F.col("b.y"))
+    return F.when(F.least("a.nd", "b.nd") >= WIDE << 32, F.bit_count(high) + F.bit_count(low.bitwiseXOR(high))).otherwise(F.bit_count(low))
+
+
+def _possible(threshold: float, placed: bool = True) -> Column:
+    """Line b of the same key is earlier than a, which isn't settled, and may match it. Bitmaps, cheap and sharp, come before the length and
+    position filters; none drops a pair at the threshold whose first shared words are the key."""
+    m, n, i, j = F.shiftright("a.nd", 32), F.shiftright("b.nd", 32), F.col("a.nd").bitwiseAND((1 << 32) - 1), F.col("b.nd").bitwiseAND((1 << 32) - 1)
+    most = (m + n) * ((1 - threshold) / (1 + threshold)) + 1e-6
+    near = (F.bit_count(F.col("a.x").bitwiseXOR(F.col("b.x"))) <= most) & (_apart() <= most)
+    length = F.least(m, n) >= F.greatest(m, n) * threshold - 1e-9
+    behind = (F.least(m - i, n - j) >= (m + n) * (threshold / (1 + threshold)) - 1e-9) if placed else F.lit(True)
+    return (F.col("a.k") == F.col("b.k")) & (F.col("b.did") <= F.col("a.did")) & (F.col("a.po").bitwiseAND(1) == 0) & near & length & behind & (_place("b") < _place("a"))
+
+
+def _place(side: str) -> Column:
+    return F.struct(F.col(f"{side}.did"), F.shiftright(f"{side}.po", 1), F.col(f"{side}.node"))
+
+
+def _spread(crowd: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """Packed rows of keys of two words with their parts and the prefix, for ``_behind``."""
+    at = (F.col("nd").bitwiseAND((1 << 32) - 1) + 1).cast("int").alias("at")
+    return crowd.join(prefixes, "node").select("k", *_ROW, F.shiftright("nd", 32).cast("int").alias("n"), at, "prefix")
+
+
+def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame, min_words: int) -> DataFrame:
+    """(node, key2, id, line) of the lines in pairs(later, earlier), read again: so no table holds the text of all lines."""
+    nodes = saved(pairs.select(F.col("later").alias("node")).union(pairs.select("earlier")).distinct(), "nodes")
+    places = saved(classes.join(small(nodes), "node", "left_semi").select(*_KEY, *_DOC, "pos"), "places")
+    holders = small(saved(places.select(F.col("did").alias("holder")).distinct(), "holders"))
+    found = _lines(docs.join(holders, _keyed()["did"] == F.col("holder"), "left_semi"), min_words)
+    found = found.join(small(places), [*_DOC, "pos"]).dropDuplicates([*_KEY, *_DOC, "pos"])
+    out = saved(found.select(*_KEY, F.struct("did", "pos", "node").alias("id"), "line"), "texts")
+    discard(nodes)
+    discard(places)
+    return out
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """(node, key2) of the later lines of pairs(later, earlier) that reach the threshold, judged by their words."""
+    one = texts.select(F.col("node").alias("later"), "key2", F.col("id").alias("ia"), F.array_distinct(_words(F.col("line"))).alias("set"))
+    two = texts.select(F.col("node").alias("earlier"), F.col("id").alias("ib"), F.array_distinct(_words(F.col("line"))).alias("set2"))
+    both = pairs.join(one, "later").join(two, "earlier").where("ib < ia").withColumn("shared", F.size(F.array_intersect("set", "set2")))
+    near = both.where(F.col("shared") >= (F.size("set") + F.size("set2") - F.col("shared")) * threshold - 1e-9)
+    return saved(near.select(F.col("later").alias("node"), "key2").distinct(), "verified")
+
+
+def _nearest(pairs: DataFrame) -> DataFrame:
+    """Of each later line the pair whose bitmaps differ least."""
+    return saved(pairs.groupBy("later").agg(F.min(F.struct("far", "earlier")).alias("b")).select("later", "b.earlier"), "nearest")
+
+
+def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, hot: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(first, matched) for the lines of docs(doc_id, text): first has (node, key2) and (did, pos, th, th2), the first line
+    of each class; matched the (node, key2) of classes whose first line matches an earlier line of another class."""
+    docs, hot = docs.select("doc_id", "text"), HOT if hot is None else hot
+    levels = max(1, min(3, _least_shared(threshold)))
+    classes = line_classes(docs, threshold, min_words, levels)
+    pair, ends = _possible(threshold), [F.col("a.node").alias("later"), F.col("b.node").alias("earlier"), _apart().alias("far")]
+
+    def spread(rows: DataFrame, words: Column) -> DataFrame:
+        return rows.select(*_ROW, "n", "prefix", F.posexplode(words).alias("at", "k"))
+
+    rows = classes.withColumn("po", F.shiftleft(F.col("pos").cast("long"), 1))
+    own = F.slice("prefix", F.lit(1), _prefix(F.col("n"), threshold))
+    known = F.filter(own, lambda w: F.shiftright(w, 56) > 0)  # a word that no other line has finds nothing
+    heads = _packed(spread(rows, F.transform(F.array(known), lambda q: F.array(F.xxhash64(F.slice(q, 1, 2)), F.xxhash64(F.slice(q, 3, 2))))[0]).where("n >= 4"), 1)
+    lead = heads.groupBy("k", F.shiftright("nd", 32).alias("n")).agg(F.min(F.struct("did", "po", "node", "x", "y", "nd")).alias("c")).select("k", "c.*")
+    unplaced = _possible(threshold, placed=False) & (F.shiftright("a.nd", 32) == F.shiftright("b.nd", 32))
+    lead_pairs = saved(heads.alias("a").join(lead.alias("b"), unplaced).select(*ends), "led")
+    first_pairs = _nearest(lead_pairs)
+    texts = _texts(docs, classes, first_pairs, min_words)
+    settled = _verified(first_pairs, texts, threshold)
+    discard(texts)
+
+    gone = small(saved(settled.select("node").distinct(), "settled"))
+    rows = classes.join(gone.withColumn("gone", F.lit(1)), "node", "left").withColumn("po", F.shiftleft(F.col("pos").cast("long"), 1).bitwiseOR(F.coalesce(F.col("gone"), F.lit(0)).cast("long")))
+    single = spread(rows, own).where(F.shiftright("k", 56) > 0)
+    common = F.shiftright("k", 56) >= _class(hot)
+    keys = _packed(single.where(~common), 1)
+    several = _packed(_behind(single.where(common), threshold, 2), 2) if levels > 1 else _packed(single.where(common), 1)
+    several = saved(several, "keys")
+    crowded = saved(several.groupBy("k").agg(F.count("*").alias("m")).where(F.col("m") > hot).select("k"), "crowded")
+    quiet, deep = several, None
+    if not crowded.isEmpty():
+        known = small(crowded)
+        quiet, deep = several.join(known, "k", "left_anti"), saved(several.join(known, "k", "left_semi"), "crowd")
+        if levels > 2:
+            mine = classes.select("node", "prefix").join(small(saved(deep.select("node").distinct(), "nodes")), "node", "left_semi")
+            deep = _packed(_behind(_spread(deep, mine), threshold, 3), 3)
     found = []
-    for part in range(PARTS):  # a part of the words at a time: what is shuffled at once is bounded by the parts
-        mine = share(part).join(known, "w", "left_anti") if n_crowded else share(part)
-        pairs = mine.alias("a").join(mine.alias("b"), (F.col("a.w") == F.col("b.w")) & earlier & possible).select(*pair, far)
-        if n_crowded:
-            rest = crowds[part].join(done, _ID, "left_anti")
-            pairs = pairs.union(rest.alias("a").join(crowds[part].alias("b"), (F.col("a.w") == F.col("b.w")) & earlier & possible).select(*pair, far))
-        found.append(saved(pairs.distinct(), "candidates"))
-        if n_crowded:
-            discard(crowds[part])
-    pairs = reduce(DataFrame.union, found).distinct()  # a pair that shares many words is one row before settled lines leave
-    pairs = saved(pairs if done is None else pairs.join(done, _ID, "left_anti"), "candidates")
-    texts = texts_of(pairs)
-    near = saved(verified(nearest(pairs), texts), "near")
-    matched = near.union(verified(pairs.join(near, _ID, "left_anti"), texts))
-    matched = saved((matched if done is None else matched.union(done)).distinct(), "matched")
-    for used in (*found, pairs, texts):
+    for part in range(PARTS):  # what is shuffled at once is bounded by the parts
+        mine = keys.union(quiet).where(F.pmod(F.xxhash64("k"), F.lit(PARTS)) == part)
+        found.append(saved(mine.alias("a").join(mine.alias("b"), pair).select(*ends).distinct(), "pairs"))
+    if deep is not None:
+        found.append(saved(deep.alias("a").join(deep.alias("b"), pair).select(*ends).distinct(), "pairs"))
+    pairs = reduce(DataFrame.union, found)
+
+    # Of each later line first the pair whose bitmaps differ least; then all pairs of the lines which that does not settle.
+    texts, closest = _texts(docs, classes, pairs, min_words), _nearest(pairs)
+    near = _verified(closest, texts, threshold)
+    rest = pairs.select("later", "earlier").distinct().join(small(saved(near.select(F.col("node").alias("later")).distinct(), "settled")), "later", "left_anti")
+    rest = saved(rest, "rest")
+    matched = saved(settled.union(near).union(_verified(rest, texts, threshold)).select(*_KEY).distinct(), "matched")
+    for used in (lead_pairs, first_pairs, several, crowded, *found, texts, closest, rest):
         discard(used)
-    return first, matched
+    return classes.select(*_KEY, *_DOC, "pos"), matched
 
 
 def _kept(docs: DataFrame, threshold: float, min_words: int) -> DataFrame:
-    """(did, th, kept): the numbers of the kept lines with min_words words or more, of every text that has one."""
+    """(did, th, th2, kept): the numbers of the kept lines with min_words words or more, of every text that has one."""
     first, matched = removed_lines(docs, threshold, min_words)
-    return first.join(matched, _ID, "left_anti").select("did", F.col("low").bitwiseAND((1 << 32) - 1).alias("th"), F.shiftright("low", 32).cast("int").alias("pos")).groupBy("did", "th").agg(F.sort_array(F.collect_list("pos")).alias("kept"))
-
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    """docs and the keys of each row, under names that no table is likely to have."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.withColumns({"__did": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)), "__th": F.xxhash64(text).bitwiseAND((1 << 32) - 1)})
+    return first.join(small(matched), _KEY, "left_anti").groupBy(*_DOC).agg(F.sort_array(F.collect_list("pos")).alias("kept"))
 
 
 def _with_kept(rows: DataFrame, docs: DataFrame, threshold: float, min_words: int) -> DataFrame:
-    kept = _kept(docs, threshold, min_words).select(F.col("did").alias("__did"), F.col("th").alias("__th"), F.col("kept").alias("__kept"))
-    return rows.join(kept, ["__did", "__th"], "left")
+    """rows, with the keys of documents under names that no table is likely to have, and the numbers of their kept lines."""
+    names = [f"__{k}" for k in _DOC]
+    kept = _kept(docs, threshold, min_words).toDF(*names, "__kept")
+    return rows.join(kept, names, "left")
 
 
 def line_report(docs: DataFrame, threshold: float = 0.8, min_words: int = 5) -> DataFrame:
@@ -172,8 +257,10 @@ def line_report(docs: DataFrame, threshold: float = 0.8, min_words: int = 5) ->
     Shorter lines are never removed. Repeated rows (equal doc_id and text) are one document and get equal results; the
     lines of rows with an equal doc_id and another text are ordered by number, then by a hash. A null text is empty.
     """
-    lines = F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n")
-    sized = _keyed(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "__did", "__th", F.size(lines).cast("long").alias("n_lines"), F.size(F.filter(lines, lambda x: _worded(x, min_words))).cast("long").alias("n_compared"))
+    text = _text()
+    n_lines = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+    n_compared = F.regexp_count(text, F.lit("[^ \\t-\\r][^\\n]*+")) if min_words == 1 else F.size(F.filter(F.split(text, "\n"), lambda x: _worded(x, min_words)))
+    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(v.alias(f"__{k}") for k, v in _keyed().items()), n_lines.cast("long").alias("n_lines"), n_compared.cast("long").alias("n_compared"))
     out = _with_kept(sized, docs, threshold, min_words)
     return out.select("doc_id", "n_lines", "n_compared", (F.col("n_compared") - F.coalesce(F.size("__kept"), F.lit(0))).alias("n_removed"), F.coalesce(F.array_join("__kept", ","), F.lit("")).alias("kept_lines"))
 
@@ -181,14 +268,18 @@ def line_report(docs: DataFrame, threshold: float = 0.8, min_words: int = 5) ->
 def dedup_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5) -> DataFrame:
     """docs without their removed lines, n_chars (if there) brought up to date; a document goes if it had words and every
     line of words was removed. Texts from which no line goes stay as they are, null ones too."""
-    rows = _with_kept(_keyed(docs), docs, threshold, min_words)
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    kept = F.coalesce("__kept", F.array().cast("array<int>"))
-    stays = F.filter(F.split(text, "\n"), lambda x, i: ~_worded(x, min_words) | F.array_contains(kept, i))
-    rows = rows.withColumn("__new", F.array_join(stays, "\n"))
+    rows = _with_kept(docs.withColumns({f"__{k}": v for k, v in _keyed().items()}), docs, threshold, min_words)
+    text, kept = _text(), F.coalesce("__kept", F.array().cast("array<int>"))
+
+    def left(lines: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(lines) - 1)
+        gone = F.array_except(F.filter(places, lambda i: _worded(F.get(lines, i), min_words)), kept)
+        return F.array_join(F.transform(F.array_except(places, gone), lambda i: F.get(lines, i)), "\n")
+
+    rows = rows.withColumn("__new", F.transform(F.array(F.split(text, "\n")), left)[0])  # the text is split once, not for each line
     rows = rows.where(F.col("__new").rlike("[^ \\t-\\r]") | ~text.rlike("[^ \\t-\\r]"))
     changed = F.col("__new") != text
     new = {"text": F.when(changed, F.col("__new")).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(changed, F.length("__new").cast("long")).otherwise(F.col("n_chars"))
-    return rows.select(*(new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns))
+    return rows.select(*(new[c].alias(c) if c in new else old for c, old in zip(docs.columns, columns(docs))))
