@@ -1,9 +1,10 @@
 """Pairs of texts whose sets of k-word shingles reach a Jaccard similarity, by a prefix join that loses no pair.
 
 A set is the 64-bit hashes of a text's shingles. Two sets at the threshold share a hash of their prefixes in any common
-order; shingles that many texts have come last, so that a passage many texts quote makes no candidates. Members of a
-crowded prefix hash are first compared with one leader of about their size, and pairs that this has already connected
-are not compared again: what counts is the component. Candidates are verified on the whole sets.
+order; shingles that many texts have come last, so that a passage many texts quote makes no candidates. A pair is a
+candidate if its prefixes share as many hashes as the threshold asks for. Members of a crowded prefix hash are first
+compared with one leader of about their size, and pairs that this has already connected are not compared again: what
+counts is the component. Candidates are verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -14,13 +15,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .batches import discard, record_batch, saved, text_chunks
+from .batches import discard, record_batch, saved, small, text_chunks
 from .bytewords import gram_hashes, words_of
 from .components import connected_components
-from .line_dedup import LINE_CELLS, _literal
 
 #: Shingles that a worker counts at a time, and the most common ones that are put last (which changes no result).
-COUNTED, COMMON = 1 << 21, 1 << 16
+COUNTED, COMMON = 1 << 20, 1 << 16
 #: Members of a prefix hash from which they are first compared with a leader. An estimate, not measured.
 HOT = 32
 _WORD = np.array([not (b == 0x20 or 0x09 <= b <= 0x0D) for b in range(256)])
@@ -76,27 +76,30 @@ def similar_edges(docs: DataFrame, nodes: DataFrame, k: int, threshold: float, h
     """docs(text), nodes(node, n, prefix; node is xxhash64 of a text of docs, sets distinct) -> (a, b): verified pairs, whose
     components are those of all pairs of nodes at the threshold."""
     words = nodes.select("node", "n", F.posexplode("prefix").alias("i", "s"))
-    shared = words.groupBy("s").agg(F.count("*").alias("m")).where("m > 1")
+    shared = small(saved(words.groupBy("s").agg(F.count("*").alias("m")).where("m > 1"), "shared"))
     post = saved(words.join(shared, "s"), "postings")
 
-    # Length and position filters of a pair; neither drops a pair at the threshold.
-    m, n, i, j = F.col("a.n"), F.col("b.n"), F.col("a.i"), F.col("b.i")
-    possible = (F.least(m, n) >= F.greatest(m, n) * threshold - 1e-9) & (F.least(i, j) + 1 + F.least(m - i - 1, n - j - 1) >= (m + n) * (threshold / (1 + threshold)) - 1e-9)
-    ends = [F.col("a.node").alias("a"), F.col("b.node").alias("b")]
+    m, n = F.col("a.n"), F.col("b.n")
+    alike = (F.col("a.s") == F.col("b.s")) & (F.least(m, n) >= F.greatest(m, n) * threshold - 1e-9)
+    # Of two prefixes, the one that ends first in the common order has all its shared hashes in the other, so a pair shares
+    # no more than those and the rest of that set.
+    rest = F.ceil(F.col("most") * threshold - 1e-9) - 1
+    enough = F.col("shared") >= (F.col("least") + F.col("most")) * (threshold / (1 + threshold)) - 1e-9 - rest
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        bit = lambda c: F.shiftrightunsigned(c, 7).bitwiseAND(LINE_CELLS * 64 - 1)
-        cells = needed.groupBy(F.shiftright(bit(F.col("node")), 6).cast("int").alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(shiftrightunsigned(node, 7) & 63 as int))")).alias("bits")).toArrow()  # a row for each cell at most
-        own = bit(F.col("node"))
-        inside = F.call_function("shiftrightunsigned", F.get(_literal(LINE_CELLS, cells["cell"], cells["bits"], "long", 0), F.shiftright(own, 6).cast("int")), own.bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
+    def counted(pairs: DataFrame) -> DataFrame:
+        """(a, b, shared) of pairs, a row for each hash, that share enough of their prefixes."""
+        return pairs.groupBy("a", "b", "least", "most").agg(F.count("*").alias("shared")).where(enough).select("a", "b", "shared")
+
+    sizes = [F.least(m, n).alias("least"), F.greatest(m, n).alias("most")]
 
+    def verified(pairs: DataFrame) -> DataFrame:
+        needed = small(saved(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "needed"))
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part, texts in text_chunks(batches):
                 yield record_batch(_SETS, part.column("node"), pa.array(list(shingle_sets(texts, k)), pa.list_(pa.int64())))
 
-        rows = docs.select(text_hash(docs).alias("node"), "text").where(inside).mapInArrow(run, "node long, set array<long>")
-        sets = saved(rows.join(needed, "node", "left_semi").dropDuplicates(["node"]), "sets")
+        rows = docs.select(text_hash(docs).alias("node"), "text").join(needed, "node", "left_semi").mapInArrow(run, "node long, set array<long>")
+        sets = saved(rows.dropDuplicates(["node"]), "sets")
         both = pairs.join(sets.select(F.col("node").alias("a"), "set"), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("set2")), "b")
         both = both.select("a", "b", F.size("set").alias("m"), F.size("set2").alias("n"), F.size(F.array_intersect("set", "set2")).alias("both"))
         out = saved(both.where(F.col("both") >= (F.col("m") + F.col("n") - F.col("both")) * threshold - 1e-9).select("a", "b"), "similar")
@@ -109,8 +112,9 @@ def similar_edges(docs: DataFrame, nodes: DataFrame, k: int, threshold: float, h
         size = F.log("n") / float(np.log(1.25))  # two sizes that can match share one of two bands that overlap
         banded = crowd.select("s", "node", "n", "i", F.explode(F.array(F.floor(size) * 2, F.floor(size + 0.5) * 2 + 1)).alias("band"))
         lead = banded.groupBy("s", "band").agg(F.min(F.struct("node", "n", "i")).alias("l")).select("s", "band", "l.*")
-        pairs = banded.alias("a").join(lead.alias("b"), (F.col("a.s") == F.col("b.s")) & (F.col("a.band") == F.col("b.band")) & (F.col("a.node") != F.col("b.node")) & possible).select(*ends)
-        led = verified(saved(pairs.groupBy("a").agg(F.min("b").alias("b")), "led"))
+        pairs = banded.alias("a").join(lead.alias("b"), alike & (F.col("a.band") == F.col("b.band")) & (F.col("a.node") != F.col("b.node"))).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), *sizes)
+        best = counted(pairs).groupBy("a").agg(F.max(F.struct("shared", "b")).alias("x"))
+        led = verified(saved(best.select("a", F.col("x.b").alias("b")), "led"))
         parts = connected_components(led, "led").select("node", F.col("component").alias("c"))
     # Of the members of a hash, those outside its largest component are compared with all others that they aren't connected with.
     named = post.join(parts, "node", "left").select("s", "node", "n", "i", F.coalesce("c", "node").alias("c"))
@@ -119,8 +123,8 @@ def similar_edges(docs: DataFrame, nodes: DataFrame, k: int, threshold: float, h
     mixed = saved(named.join(main, "s"), "mixed")
     a, b = mixed.where("c <> main").alias("a"), mixed.alias("b")
     once = (F.col("b.c") == F.col("b.main")) | (F.col("a.node") < F.col("b.node"))
-    pairs = a.join(b, (F.col("a.s") == F.col("b.s")) & (F.col("a.c") != F.col("b.c")) & once & possible).select(F.greatest("a.node", "b.node").alias("a"), F.least("a.node", "b.node").alias("b"))
-    pairs = saved(pairs.distinct(), "pairs")
+    pairs = a.join(b, alike & (F.col("a.c") != F.col("b.c")) & once).select(F.greatest("a.node", "b.node").alias("a"), F.least("a.node", "b.node").alias("b"), *sizes)
+    pairs = saved(counted(pairs).select("a", "b"), "pairs")
     found = verified(pairs)
     for used in (post, named, mixed, pairs):
         discard(used)
