@@ -48,7 +48,11 @@ def features(docs: DataFrame) -> DataFrame:
     low = "low"
     rows = rows.withColumn("low", F.length(F.bin("n"))).withColumn("keyed", F.expr(f"case when n < 4 then array() else sort_array(transform(sequence(0, n - 3), i -> shiftleft(shiftright(xxhash64(get(words, i), get(words, i + 1), get(words, i + 2)), {low}), {low}) | cast(i as bigint))) end"))
     same = f"coalesce(shiftright(get(keyed, k {{}} 1), {low}) = shiftright(v, {low}), false)"
-    rows = rows.withColumn("twice", F.expr(f"sort_array(transform(filter(keyed, (v, k) -> {same.format('-')} or {same.format('+')}), v -> v & (shiftleft(1L, {low}) - 1)))"))
+    # Windows with an equal key are few; they are sorted by their words, so that keys cut short can't count.
+    rows = rows.withColumn("alike", F.expr(f"transform(filter(keyed, (v, k) -> {same.format('-')} or {same.format('+')}), v -> cast(v & (shiftleft(1L, {low}) - 1) as int))"))
+    rows = rows.withColumn("alike", F.expr("sort_array(transform(alike, p -> named_struct('w', array(get(words, p), get(words, p + 1), get(words, p + 2)), 'p', cast(p as bigint))))"))
+    equal = "coalesce(get(alike, k {} 1).w = s.w, false)"
+    rows = rows.withColumn("twice", F.expr(f"sort_array(transform(filter(alike, (s, k) -> {equal.format('-')} or {equal.format('+')}), s -> s.p))"))
     repeated = F.expr("aggregate(twice, named_struct('last', -3L, 'n', 0L), (a, p) -> named_struct('last', p, 'n', a.n + least(3L, p - a.last)), a -> a.n)")
     # Places of the common words in the list, and each place once more, sorted: the gaps between firsts are the counts.
     rows = rows.withColumn("places", F.sort_array(F.concat(F.transform(F.filter("words", lambda w: w.isin(WORDS)), lambda w: F.array_position(F.array(*map(F.lit, WORDS)), w).cast("int")), F.sequence(F.lit(1), F.lit(len(WORDS) + 1)))))

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .batches import record_batch, text_chunks
+from .batches import mapped, record_batch, text_chunks
 from .chunks import ChunkTable, flattened
 
 MARK = "▁"
@@ -89,8 +89,7 @@ def encode_decode(docs: DataFrame, model_path: str) -> DataFrame:
 
     A null text counts as empty: begin and end ids only, decoded as ''. Rows are kept one for one, repeated ones too.
     """
-    kept = [c for c in docs.columns if c not in ("piece_ids", "piece_text")]
-    rows = docs.select(*kept)
+    rows = docs.drop("piece_ids", "piece_text")
     schema = rows.select("*", F.lit(None).cast("array<int>").alias("piece_ids"), F.lit("").alias("piece_text")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,4 +99,4 @@ def encode_decode(docs: DataFrame, model_path: str) -> DataFrame:
             arrays = [*part.columns, pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())), pa.array(coder.decode(ids), pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*part.schema.names, "piece_ids", "piece_text"])
 
-    return rows.mapInArrow(run, schema)
+    return mapped(rows, run, schema)

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .batches import record_batch, text_chunks
+from .batches import free_name, mapped, record_batch, text_chunks
 from .bytewords import mixed, words_of
 from .sampling import at_cut, best_cut, labelled_sample
 
@@ -123,7 +123,7 @@ def scored(docs: DataFrame, labels: DataFrame, column: str, train: Column | None
             score = at_cut(1 / (1 + np.exp(-(total / np.maximum(count, 1) + offset))), cut)
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score)], names=[*part.schema.names, column])
 
-    return docs.mapInArrow(run, docs.select("*", F.lit(0.0).alias(column)).schema)
+    return mapped(docs, run, docs.select("*", F.lit(0.0).alias(column)).schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, train: Column | None = None, sample: int = SAMPLE) -> DataFrame:
@@ -137,4 +137,5 @@ def classify(docs: DataFrame, labels: DataFrame, train: Column | None = None, sa
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.3, sample: int = SAMPLE) -> DataFrame:
     """The rows of docs whose text scores at least ``least``."""
-    return scored(docs, labels, "__score", sample=sample).where(F.col("__score") >= least).drop("__score")
+    score = free_name(docs, "__score")
+    return scored(docs, labels, score, sample=sample).where(F.col(score) >= least).drop(score)

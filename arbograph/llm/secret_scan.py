@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from .batches import record_batch, text_chunks
 
+#: Characters of a token's head that are decoded at most; a longer one is no token.
+LONGEST_HEAD = 8192
 _DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 
@@ -40,9 +42,11 @@ def checksum_holds(token: str) -> bool:
 
 def _jwt(token: str) -> bool:
     head = token.partition(".")[0]
+    if len(head) > LONGEST_HEAD:
+        return False
     try:
         return "alg" in json.loads(base64.urlsafe_b64decode(head + "=" * (-len(head) % 4)))
-    except ValueError:
+    except (ValueError, RecursionError):  # no such text, or one nested too deeply
         return False
 
 

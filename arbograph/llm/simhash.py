@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from . import shingles
-from .batches import record_batch, saved, text_chunks
+from .batches import columns, free_name, record_batch, saved, small, text_chunks
 from .components import connected_components
 
 SEED = 42
@@ -159,7 +159,13 @@ def deduplicate(docs: DataFrame, k: int = 5, max_distance: int = 3, similarity:
         edges.append(rows.select("key", F.col("node").alias("a")).join(sets.select("key", F.col("node").alias("b")), "key").select("a", "b"))
         edges.append(shingles.similar_edges(docs, sets.where("n > 0"), k, similarity))
     parts = connected_components(reduce(DataFrame.union, edges), "links")
-    named = rows.select("doc_id", "node").join(parts, "node", "left").select("doc_id", "node", F.coalesce("component", "node").alias("component"))
-    first = named.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("x")).select(F.xxhash64("x.node", "x.doc_id").alias("__row"))
-    keyed = docs.withColumn("__row", F.xxhash64(shingles.text_hash(docs), F.col("doc_id").cast("long")))
-    return keyed.join(first, "__row", "left_semi").dropDuplicates(["__row"]).select(*docs.columns)  # repeated rows are one
+    row = free_name(docs, "__row")
+    named = rows.select("doc_id", "node", F.xxhash64("node", "doc_id").alias(row)).join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    first = named.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("x")).select(F.xxhash64("x.node", "x.doc_id").alias(row))
+    counts = saved(named.groupBy(row).agg(F.count("*").alias("n")).join(first.withColumn("first", F.lit(True)), row, "left"), "rows")
+    gone, twice = (saved(counts.where(which).select(row), "gone") for which in ("first is null", "first and n > 1"))
+    # What goes is joined, not what stays, so texts stay in place unless more go than may be broadcast; of repeated rows one stays.
+    kept = docs.withColumn(row, F.xxhash64(shingles.text_hash(docs), F.col("doc_id").cast("long"))).join(small(gone), row, "left_anti")
+    if not twice.isEmpty():
+        kept = kept.join(small(twice), row, "left_anti").union(kept.join(small(twice), row, "left_semi").dropDuplicates([row]))
+    return kept.select(*columns(docs))

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .batches import record_batch, saved, text_chunks
+from .batches import columns, free_name, record_batch, saved, small, text_chunks
 from .bytewords import Words, gram_hashes, words_of
 
 K, WINDOW = 5, 10
@@ -132,7 +132,8 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs without a word inside a benchmark window, each judged by its own text, whatever its doc_id."""
-    own = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    hit = report(docs.select(own.alias("doc_id"), "text"), benchmark).where("contaminated").select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(hit, own == F.col("__hit"), "left_anti").select(*docs.columns)
+    """The rows of docs without a word inside a benchmark window, each judged by its own text, whatever its doc_id. Texts
+    stay in place unless more are contaminated than may be broadcast."""
+    own, mark = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))), free_name(docs, "__hit")
+    hit = report(docs.select(own.alias("doc_id"), "text"), benchmark).where("contaminated").select(F.col("doc_id").alias(mark)).distinct()
+    return docs.join(small(saved(hit, "hits")), own == F.col(mark), "left_anti").select(*columns(docs))
