@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -17,15 +18,26 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 CHUNK_BYTES = 1 << 19
 
 
+def _trim() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def release(spark: SparkSession) -> None:
+    """Let go, on the driver, of what finished plans, models and broadcasts hold; for the end of a long job, not of each table."""
+    _trim()
+    spark.sparkContext._jvm.System.gc()
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most ``limit`` bytes of text, or one row. A worker that is used again gives back what
     it has freed."""
     try:
         yield from _slices(batches, column, limit)
     finally:
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
-            ctypes.CDLL(None).malloc_trim(0)
+        _trim()
 
 
 def _slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .batches import columns, discard, saved, small
+from .batches import columns, discard, release, saved, small
 
 #: log2 of the cells of the table of word counts (a byte each).
 CELL_BITS = 21
@@ -194,7 +194,7 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
     rows = classes.withColumn("po", F.shiftleft(F.col("pos").cast("long"), 1))
     own = F.slice("prefix", F.lit(1), _prefix(F.col("n"), threshold))
     known = F.filter(own, lambda w: F.shiftright(w, 56) > 0)  # a word that no other line has finds nothing
-    heads = _packed(spread(rows, F.transform(F.array(known), lambda q: F.array(F.xxhash64(F.slice(q, 1, 2)), F.xxhash64(F.slice(q, 3, 2))))[0]).where("n >= 4"), 1)
+    heads = _packed(spread(rows, F.transform(F.array(known), lambda q: F.array(*(F.xxhash64(F.slice(q, i, 2)) for i in (1, 3, 5))))[0]).where("n >= 4"), 1)
     lead = heads.groupBy("k", F.shiftright("nd", 32).alias("n")).agg(F.min(F.struct("did", "po", "node", "x", "y", "nd")).alias("c")).select("k", "c.*")
     unplaced = _possible(threshold, placed=False) & (F.shiftright("a.nd", 32) == F.shiftright("b.nd", 32))
     lead_pairs = saved(heads.alias("a").join(lead.alias("b"), unplaced).select(*ends), "led")
@@ -202,6 +202,7 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
     texts = _texts(docs, classes, first_pairs, min_words)
     settled = _verified(first_pairs, texts, threshold)
     discard(texts)
+    release(docs.sparkSession)
 
     gone = small(saved(settled.select("node").distinct(), "settled"))
     rows = classes.join(gone.withColumn("gone", F.lit(1)), "node", "left").withColumn("po", F.shiftleft(F.col("pos").cast("long"), 1).bitwiseOR(F.coalesce(F.col("gone"), F.lit(0)).cast("long")))
@@ -229,11 +230,13 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
     # Of each later line first the pair whose bitmaps differ least; then all pairs of the lines which that does not settle.
     texts, closest = _texts(docs, classes, pairs, min_words), _nearest(pairs)
     near = _verified(closest, texts, threshold)
+    release(docs.sparkSession)
     rest = pairs.select("later", "earlier").distinct().join(small(saved(near.select(F.col("node").alias("later")).distinct(), "settled")), "later", "left_anti")
     rest = saved(rest, "rest")
     matched = saved(settled.union(near).union(_verified(rest, texts, threshold)).select(*_KEY).distinct(), "matched")
     for used in (lead_pairs, first_pairs, several, crowded, *found, texts, closest, rest):
         discard(used)
+    release(docs.sparkSession)
     return classes.select(*_KEY, *_DOC, "pos"), matched
 
 

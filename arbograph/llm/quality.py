@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .batches import free_name, mapped, record_batch, text_chunks
+from .batches import free_name, mapped, record_batch, release, text_chunks
 from .bytewords import mixed, words_of
 from .sampling import at_cut, best_cut, labelled_sample
 
@@ -111,6 +111,7 @@ def scored(docs: DataFrame, labels: DataFrame, column: str, train: Column | None
     at, share = at.values.to_numpy(), share.values.to_numpy()
     number, offset, cut = fit([(at[s:e], share[s:e], y) for s, e, y in zip(ends, ends[1:], rows["y"].to_pylist())])
     del rows, at, share
+    release(spark)
     model = spark.sparkContext.broadcast((number, offset, cut))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .batches import discard, record_batch, saved, small, text_chunks
+from .batches import discard, record_batch, release, saved, small, text_chunks
 from .bytewords import gram_hashes, words_of
 from .components import connected_components
 
@@ -128,6 +128,7 @@ def similar_edges(docs: DataFrame, nodes: DataFrame, k: int, threshold: float, h
     found = verified(pairs)
     for used in (post, named, mixed, pairs):
         discard(used)
+    release(docs.sparkSession)
     return found if led is None else found.union(led)
 
 
