@@ -53,13 +53,16 @@ def moved_directories(selected: DataFrame, root: str) -> DataFrame:
 def direct_totals(selected: DataFrame, root: str) -> DataFrame:
     """(dir, size, entries): each row counted in the folder that owns it, which is itself if it is a direct parent.
 
-    Rows are summed by path first, and by folder before any join: what is joined are folders and paths, each once.
+    Rows are summed by folder first, which combines before the shuffle; paths of files are never shuffled for it. The rows
+    of folders that are direct parents, found by one join, are then moved from the folder above to the folder itself.
     """
-    by_path = selected.groupBy("path").agg(F.sum(F.col("st_size").cast("decimal(38,0)")).alias("size"), F.count("*").alias("entries"))
-    parents = by_path.select(direct_parent(F.col("path"), root).alias("parent")).distinct()
-    owned = by_path.join(parents, F.col("path") == F.col("parent"), "left")
-    owner = F.coalesce("parent", direct_parent(F.col("path"), root))
-    return owned.groupBy(owner.alias("dir")).agg(F.sum("size").alias("size"), F.sum("entries").alias("entries"))
+    sums = lambda size, entries: (F.sum(size).alias("size"), F.sum(entries).alias("entries"))
+    sized = selected.select("path", direct_parent(F.col("path"), root).alias("dir"), F.col("st_size").cast("decimal(38,0)").alias("size"))
+    above = sized.groupBy("dir").agg(*sums("size", F.lit(1)))
+    moved = sized.where("path <> dir").join(above.select(F.col("dir").alias("path")), "path", "left_semi")
+    moved = moved.groupBy("path", "dir").agg(*sums("size", F.lit(1)))
+    into = moved.select(F.explode(F.array(F.struct(F.col("path").alias("dir"), "size", "entries"), F.struct("dir", (-F.col("size")).alias("size"), (-F.col("entries")).alias("entries")))).alias("m")).select("m.*")
+    return above.unionByName(into).groupBy("dir").agg(*sums("size", "entries")).where("entries > 0")
 
 
 def subtree_rollup(selected: DataFrame, root: str) -> DataFrame:

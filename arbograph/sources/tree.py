@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import errno
 import os
 from collections.abc import Iterator
+from itertools import batched
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,37 +20,35 @@ def _row(path: str, code: int, stat: os.stat_result | None = None, child: bool =
     return (os.path.basename(path), path, code, *(getattr(stat, f) if stat else None for f in _STAT), child)
 
 
-def list_directory(path: str) -> list[tuple]:
+def list_directory(path: str) -> Iterator[tuple]:
     """Rows of one directory: its entries, subdirectories as children to list, and last the directory itself.
 
     What vanishes meanwhile is left out. A directory that may not be opened is one row of code EACCES; an entry that
-    can't be read otherwise is a row of code 1 without numbers; any other error of the listing fails the task.
+    can't be read otherwise is a row of code 1 without numbers; any other error of the listing fails the task. Rows come
+    as they are read, so a directory of any size is never held whole.
     """
-    out = []
+    code = 0
     try:
-        with os.scandir(path) as entries:
-            for entry in entries:
-                try:
-                    if entry.is_dir(follow_symlinks=False):
-                        out.append(_row(entry.path, 0, None, True))
-                    else:
-                        out.append(_row(entry.path, 0, entry.stat(follow_symlinks=False)))
-                except FileNotFoundError:
-                    continue
-                except OSError:
-                    out.append(_row(entry.path, 1))
+        entries = os.scandir(path)
     except FileNotFoundError:
-        return []
+        return
     except PermissionError:
-        try:
-            return [_row(path, errno.EACCES, os.lstat(path))]
-        except FileNotFoundError:
-            return []
+        code = errno.EACCES
+    else:
+        with entries:
+            yield from filter(None, map(_entry, entries))
+    with contextlib.suppress(FileNotFoundError):
+        yield _row(path, code, os.lstat(path))
+
+
+def _entry(entry: os.DirEntry) -> tuple | None:
     try:
-        out.append(_row(path, 0, os.lstat(path)))
+        child = entry.is_dir(follow_symlinks=False)
+        return _row(entry.path, 0, None if child else entry.stat(follow_symlinks=False), child)
     except FileNotFoundError:
-        pass
-    return out
+        return None
+    except OSError:
+        return _row(entry.path, 1)
 
 
 def scan_tree(spark: SparkSession, root: str, scratch: str, tasks: int = 64) -> DataFrame:
@@ -60,9 +60,8 @@ def scan_tree(spark: SparkSession, root: str, scratch: str, tasks: int = 64) ->
         names = [c.split()[0] for c in _FOUND.split(", ")]
         for batch in batches:
             for path in batch["path"]:
-                rows = list_directory(path)
-                for at in range(0, len(rows), 10_000):
-                    yield pd.DataFrame(rows[at : at + 10_000], columns=names).astype({"st_size": "Int64"})
+                for rows in batched(list_directory(path), 10_000):
+                    yield pd.DataFrame(rows, columns=names).astype({"st_size": "Int64"})
 
     while True:
         place = f"{scratch.rstrip('/')}/level-{level}"

@@ -124,11 +124,11 @@ def test_usage_document_and_carry_forward(spark, place):
 def test_input_resolution(tmp_path):
     (tmp_path / "x.txt").write_text("")
     with pytest.raises(ValueError):
-        inventory.resolve_files(tmp_path)
+        inventory.inventory_files(tmp_path)
     (tmp_path / "b").mkdir()
     for n in ("b/2.parquet", "1.parquet"):
         (tmp_path / n).write_text("")
-    assert [p.name for p in inventory.resolve_files(tmp_path)] == ["1.parquet", "2.parquet"]
+    assert [p.name for p in inventory.inventory_files(tmp_path)] == ["1.parquet", "2.parquet"]
 
 
 RECORD = '"path":"/r/a","code":%s,"st_size":1,"st_atime":1.5,"st_mtime":2,"st_ctime":3}'
@@ -163,7 +163,7 @@ def test_scan_and_collect(spark, place):
     os.symlink(root / "results", root / "link")
     rows = tree.scan_tree(spark, str(root), f"{place}/levels", tasks=2).collect()
     assert len(rows) == 7 and {r.code for r in rows} == {0} and sum(r.st_size for r in rows if r.name.endswith("bin")) == 1024
-    assert tree.list_directory(str(root / "gone")) == []
+    assert list(tree.list_directory(str(root / "gone"))) == []
     inventories = place / "inv"
     inventories.mkdir(mode=0o700)
     (inventories / "inventory-old.jsonl").write_text("")
@@ -172,3 +172,65 @@ def test_scan_and_collect(spark, place):
     with pytest.raises(publish.Refused):
         collect.collect(spark, str(root), str(inventories), str(place / "rep" / "usage.sqlite3"), publisher=lambda *_: 2)
     assert len(list(inventories.glob("inventory-*.jsonl"))) == 2
+
+
+def test_large_directory_and_plan_of_direct_totals(spark):
+    """A folder of 100,000 files; what is shuffled by path are rows of folders, as file rows combine by their folder first."""
+    rows = spark.range(100_000).selectExpr("concat('/r/bulk/f-', id) AS path", "1L AS st_size", "0L AS code").union(spark.createDataFrame([("/r", 100, 0), ("/r/bulk", 7, 0)], INV))
+    found = {r.path: (r.apparent_bytes, r.entries) for r in usage.subtree_rollup(usage.select_root(rows, "/r"), "/r").collect()}
+    assert found == {".": (100_107, 100_002), "bulk": (100_007, 100_001)}
+
+
+def test_many_folders(spark, place):
+    root = str(place / "root")
+    lines = [{"path": root, "st_size": 13, "code": 0}]
+    for i in range(2_500):
+        lines += [{"path": f"{root}/folder-{i}", "st_size": 3, "code": 0}, {"path": f"{root}/folder-{i}/file", "st_size": 7, "code": 0}]
+    code, report = published(spark, place, lines)
+    with sqlite3.connect(report) as db:
+        found = {p: (b, n) for p, b, n in db.execute("SELECT path, apparent_bytes, entries FROM directories")}
+    assert code == 0 and len(found) == 2_501 and found["."] == (25_013, 5_001) and found["folder-2499"] == (10, 2)
+
+
+def test_parquet_inventory_is_read_below_the_root_alone(spark, place):
+    root, source = place / "root", place / "inv"
+    spark.createDataFrame([(str(root), 5, 0), (f"{root}/d/f", 6, 0), ("/elsewhere", None, None)], INV).write.parquet(str(source))
+    target = place / "out" / "usage.sqlite3"
+    assert publish.publish(spark, publish.Request(str(source), str(root), str(target), True, "2024-01-01T00:00:00Z")) == 0
+    selected = inventory.inventory(spark, source).where(publish.under_root(F.col("path"), str(root)))
+    plan = selected.agg(F.count_if("unreadable"))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [" in plan and "PushedFilters: []" not in plan
+
+
+def test_source_that_changes_keeps_the_report(spark, place, monkeypatch):
+    lines = [{"path": str(place / "root"), "st_size": 13, "code": 0}]
+    code, report = published(spark, place, lines)
+    before, write, replace = report.read_bytes(), publish.write_sqlite, publish.replace_file
+    more = lambda: (place / "inv.jsonl").open("a").write("\n")
+    monkeypatch.setattr(publish, "write_sqlite", lambda *a: (write(*a), more()))  # after the second reading
+    assert published(spark, place, lines)[0] == 2 and report.read_bytes() == before
+    monkeypatch.setattr(publish, "write_sqlite", write)
+    rolled = publish.rolled_up
+    monkeypatch.setattr(publish, "rolled_up", lambda *a: (rolled(*a), more())[0])  # before it
+    assert published(spark, place, lines)[0] == 2 and report.read_bytes() == before
+    monkeypatch.setattr(publish, "rolled_up", rolled)
+    monkeypatch.setattr(publish.shutil, "copyfileobj", lambda *a: (_ for _ in ()).throw(OSError("full")))
+    assert published(spark, place, lines)[0] == 2 and report.read_bytes() == before
+    assert [p.name for p in report.parent.iterdir()] == [report.name] and replace
+
+
+def test_guards_and_links(place):
+    open_to_all = place / "open"
+    open_to_all.mkdir()
+    os.chmod(open_to_all, 0o777)
+    (place / "real").write_text("")
+    (place / "link").symlink_to(place / "real")
+    for target in (open_to_all / "usage.sqlite3", place / "link", place / "root"):
+        with pytest.raises(publish.Refused):
+            publish.guard_target(target)
+    publish.guard_target(place / "real")
+    (place / ".inventory-1.jsonl").symlink_to(place / "real")
+    (place / ".inventory-2.jsonl").mkdir()
+    (place / ".inventory-3.jsonl").write_text("")
+    collect.clear(place, ".inventory-")
+    assert {p.name for p in place.glob(".inventory-*")} == {".inventory-1.jsonl", ".inventory-2.jsonl"}
