@@ -194,7 +194,7 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
     rows = classes.withColumn("po", F.shiftleft(F.col("pos").cast("long"), 1))
     own = F.slice("prefix", F.lit(1), _prefix(F.col("n"), threshold))
     known = F.filter(own, lambda w: F.shiftright(w, 56) > 0)  # a word that no other line has finds nothing
-    heads = _packed(spread(rows, F.transform(F.array(known), lambda q: F.array(*(F.xxhash64(F.slice(q, i, 2)) for i in (1, 3, 5))))[0]).where("n >= 4"), 1)
+    heads = _packed(spread(rows, F.transform(F.array(known), lambda q: F.array(*(F.xxhash64(F.slice(q, i, 2)) for i in (1, 3, 5, 7))))[0]).where("n >= 4"), 1)
     lead = heads.groupBy("k", F.shiftright("nd", 32).alias("n")).agg(F.min(F.struct("did", "po", "node", "x", "y", "nd")).alias("c")).select("k", "c.*")
     unplaced = _possible(threshold, placed=False) & (F.shiftright("a.nd", 32) == F.shiftright("b.nd", 32))
     lead_pairs = saved(heads.alias("a").join(lead.alias("b"), unplaced).select(*ends), "led")
