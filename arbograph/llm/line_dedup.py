@@ -8,7 +8,7 @@ and what is left is verified on the words themselves.
 
 A word that is too common to be a key alone is one with each common word behind it: sets that share l words share l words
 of prefixes that are l - 1 words longer; keys of two words that are still crowded get a third. Before the join, each line is
-compared with the first line of its length that has the same rare words; what that settles is not the later line of a pair
+compared with the first line of about its length that has the same rare words; what that settles is not the later line of a pair
 again, so large groups of copies make no pair for each two of them.
 """
 
@@ -195,8 +195,9 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
     own = F.slice("prefix", F.lit(1), _prefix(F.col("n"), threshold))
     known = F.filter(own, lambda w: F.shiftright(w, 56) > 0)  # a word that no other line has finds nothing
     heads = _packed(spread(rows, F.transform(F.array(known), lambda q: F.array(*(F.xxhash64(F.slice(q, i, 2)) for i in (1, 3, 5, 7))))[0]).where("n >= 4"), 1)
-    lead = heads.groupBy("k", F.shiftright("nd", 32).alias("n")).agg(F.min(F.struct("did", "po", "node", "x", "y", "nd")).alias("c")).select("k", "c.*")
-    unplaced = _possible(threshold, placed=False) & (F.shiftright("a.nd", 32) == F.shiftright("b.nd", 32))
+    band = lambda nd: F.floor(F.log(F.shiftright(nd, 32).cast("double")) * 5)
+    lead = heads.groupBy("k", band("nd").alias("band")).agg(F.min(F.struct("did", "po", "node", "x", "y", "nd")).alias("c")).select("k", "c.*")
+    unplaced = _possible(threshold, placed=False) & (band("a.nd") == band("b.nd"))
     lead_pairs = saved(heads.alias("a").join(lead.alias("b"), unplaced).select(*ends), "led")
     first_pairs = _nearest(lead_pairs)
     texts = _texts(docs, classes, first_pairs, min_words)
