@@ -23,8 +23,8 @@ from .batches import columns, discard, release, saved, small
 
 #: log2 of the cells of the table of word counts (a byte each).
 CELL_BITS = 21
-#: Occurrences from which a word is no key alone, and lines from which a key of two words is crowded. On our machine a row
-#: more in the join takes 2 microseconds, a pair tested 0.01: so many tests for a row cost up to twice its five to ten keys.
+#: Occurrences from which a word is no key alone, and lines from which a key of two words is crowded. Estimated, not
+#: measured apart: a row more in the join takes some 2 microseconds and a pair tested 0.01, and a word more makes five to ten rows.
 HOT = 4096
 #: The join's rows are made in so many rounds, each over a part of the keys.
 PARTS = 2
