@@ -26,6 +26,12 @@ CELL_BITS = 21
 #: Occurrences from which a word is no key alone, and lines from which a key of two words is crowded. Estimated, not
 #: measured apart: a row more in the join takes some 2 microseconds and a pair tested 0.01, and a word more makes five to ten rows.
 HOT = 4096
+#: Lines of a rare key that later lines of about their length are compared with before the join: the first of each of so many parts.
+LEADERS = 8
+#: Places, in the order of rarity, of the first of the two words of such a key.
+LEADING = (1, 3, 5, 7)
+#: Leaders whose words a line is held against before the join; what they don't settle, the join does.
+TRIED = 8
 #: The join's rows are made in so many rounds, each over a part of the keys.
 PARTS = 2
 #: Sets with fewer words get a bitmap of 64 bits, others of 128.
@@ -180,6 +186,12 @@ def _nearest(pairs: DataFrame) -> DataFrame:
     return saved(pairs.groupBy("later").agg(F.min(F.struct("far", "earlier")).alias("b")).select("later", "b.earlier"), "nearest")
 
 
+def _nearest_leaders(pairs: DataFrame) -> DataFrame:
+    """Of each later line the TRIED pairs with a leader whose bitmaps differ least; it has LEADERS for each of LEADING at most."""
+    near = F.slice(F.sort_array(F.collect_set(F.struct("far", "earlier"))), 1, TRIED)
+    return saved(pairs.groupBy("later").agg(near.alias("near")).select("later", F.explode("near").alias("b")).select("later", "b.earlier"), "nearest")
+
+
 def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, hot: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(first, matched) for the lines of docs(doc_id, text): first has (node, key2) and (did, pos, th, th2), the first line
     of each class; matched the (node, key2) of classes whose first line matches an earlier line of another class."""
@@ -194,12 +206,12 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
     rows = classes.withColumn("po", F.shiftleft(F.col("pos").cast("long"), 1))
     own = F.slice("prefix", F.lit(1), _prefix(F.col("n"), threshold))
     known = F.filter(own, lambda w: F.shiftright(w, 56) > 0)  # a word that no other line has finds nothing
-    heads = _packed(spread(rows, F.transform(F.array(known), lambda q: F.array(*(F.xxhash64(F.slice(q, i, 2)) for i in (1, 3, 5, 7))))[0]).where("n >= 4"), 1)
+    heads = _packed(spread(rows, F.transform(F.array(known), lambda q: F.array(*(F.when(F.size(q) >= i, F.xxhash64(F.slice(q, i, 2))) for i in LEADING)))[0]).where("n >= 4 and k is not null"), 1)
     band = lambda nd: F.floor(F.log(F.shiftright(nd, 32).cast("double")) * 5)
-    lead = heads.groupBy("k", band("nd").alias("band")).agg(F.min(F.struct("did", "po", "node", "x", "y", "nd")).alias("c")).select("k", "c.*")
+    lead = heads.groupBy("k", band("nd").alias("band"), F.pmod("node", F.lit(LEADERS))).agg(F.min(F.struct("did", "po", "node", "x", "y", "nd")).alias("c")).select("k", "c.*")
     unplaced = _possible(threshold, placed=False) & (band("a.nd") == band("b.nd"))
     lead_pairs = saved(heads.alias("a").join(lead.alias("b"), unplaced).select(*ends), "led")
-    first_pairs = _nearest(lead_pairs)
+    first_pairs = _nearest_leaders(lead_pairs)
     texts = _texts(docs, classes, first_pairs, min_words)
     settled = _verified(first_pairs, texts, threshold)
     discard(texts)
