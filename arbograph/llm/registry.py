@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import divergence, line_dedup, pieces, quality, rendezvous, secret_scan, simhash, token_files, toxicity, winnow
 from .batches import scratch_root, table
+from .oracle import ORACLE
 from .sampling import id_remainder
 
 
@@ -67,4 +68,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
