@@ -61,4 +61,35 @@ SELECT d.doc_id, len(string_split(coalesce(d.text, ''), chr(10))) AS n_lines, co
 FROM documents d LEFT JOIN kept k ON k.doc_id IS NOT DISTINCT FROM d.doc_id AND k.text = coalesce(d.text, '')
 """
 
-ORACLE = {"op5_decontamination": OP5, "op8_line_dedup": OP8}
+
+def _crc(value: int) -> int:
+    """CRC-32 (reflected polynomial) of a byte, without the inversions."""
+    for _ in range(8):
+        value = value >> 1 ^ 0xEDB88320 * (value & 1)
+    return value
+
+
+def _crc_step() -> str:
+    """The state c after byte b: CRC is linear, so each bit of the low byte adds its own constant."""
+    terms = (f"((xor(c, b) >> {k}) & 1) * {_crc(1 << k)}" for k in range(8))
+    out = "c >> 8"
+    for term in terms:
+        out = f"xor({out}, {term})"
+    return out
+
+
+#: The hash that decides is md5 of "key:shard"; the crc32 of a text goes over its bytes, written as pairs of digits.
+OP10 = f"""
+WITH texts AS (SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS t, coalesce(cast(doc_id AS varchar), '') AS key FROM documents),
+scores AS (SELECT rid, s, md5(key || ':' || s) AS score FROM texts, (SELECT unnest(range(25)) AS s)),
+best AS (SELECT rid, arg_max(s, score) FILTER (WHERE s < 24) AS shard, arg_max(s, score) AS grown_shard FROM scores GROUP BY rid),
+bytes AS (
+  SELECT rid, list_transform(regexp_extract_all(hex(t), '..'),
+    lambda x: cast(16 * (instr('0123456789ABCDEF', x[1]) - 1) + instr('0123456789ABCDEF', x[2]) - 1 AS bigint)) AS bs FROM texts),
+sums AS (SELECT rid, xor(list_reduce(bs, lambda c, b: {_crc_step()}, 4294967295::bigint), 4294967295::bigint) AS text_crc32 FROM bytes)
+SELECT doc_id, octet_length(t) + 8 AS size, text_crc32, 'key' AS law, cast(shard AS integer) AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST) - 1 AS slot, cast(grown_shard AS integer) AS grown_shard
+FROM texts JOIN best USING (rid) JOIN sums USING (rid)
+"""
+
+ORACLE = {"op5_decontamination": OP5, "op8_line_dedup": OP8, "op10_sharding": OP10}

@@ -33,4 +33,6 @@ def test_sql_and_query_agree_on_hard_rows(spark, tmp_path):
     for name, sql in registry.oracle_sql().items():
         found = con.execute(sql)
         columns = [c[0] for c in found.description]
-        assert sorted(repr(tuple(r)) for r in registry.queries()[name](spark, str(tmp_path)).select(*columns).collect()) == sorted(map(repr, found.fetchall())), name
+        fixed = [i for i, c in enumerate(columns) if c != "slot"]  # rows with an equal doc_id are numbered in any order
+        got = registry.queries()[name](spark, str(tmp_path)).select(*columns).collect()
+        assert sorted(repr([r[i] for i in fixed]) for r in got) == sorted(repr([r[i] for i in fixed]) for r in found.fetchall()), name
