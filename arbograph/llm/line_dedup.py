@@ -8,8 +8,8 @@ and what is left is verified on the words themselves.
 
 A word that is too common to be a key alone is one with each common word behind it: sets that share l words share l words
 of prefixes that are l - 1 words longer; keys of two words that are still crowded get a third. Before the join, each line is
-compared with the first line of about its length that has the same rare words; what that settles is not the later line of a pair
-again, so large groups of copies make no pair for each two of them.
+compared with a few of the first lines of about its length that have the same rare words; what that settles is not the later
+line of a pair again, so large groups of copies don't make a pair for each two of them.
 """
 
 from __future__ import annotations
