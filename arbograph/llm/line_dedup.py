@@ -32,8 +32,6 @@ LEADERS = 8
 LEADING = (1, 3, 5, 7)
 #: Leaders whose words a line is held against before the join; what they don't settle, the join does.
 TRIED = 8
-#: The join's rows are made in so many rounds, each over a part of the keys.
-PARTS = 2
 #: Sets with fewer words get a bitmap of 64 bits, others of 128.
 WIDE = 64
 _NULL_ID = -(1 << 63)
@@ -89,23 +87,26 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
 
 
 def line_classes(docs: DataFrame, threshold: float, min_words: int, levels: int) -> DataFrame:
-    """(node, key2, did, pos, th, th2, n, x, y, prefix) of the first line of each class of equal sets.
+    """(node, key2, did, pos, th, th2, n, x, y, prefix, heads) of the first line of each class of equal sets.
 
     node and key2 are 128 bits of the set, of n words; x a bitmap of it, y the half of
     its words that a larger bitmap of WIDE sets has apart; prefix its rarest words as numbers, rarity
-    class in the high bits; lines are ordered by doc_id (null first), line number and a hash of the text.
+    class in the high bits; heads the keys by which it finds leaders; lines are ordered by doc_id (null first), line number and a hash of the text.
     """
     table, mask = word_classes(docs), (1 << CELL_BITS) - 1
     rows = _lines(docs, min_words).withColumn("hashes", F.array_distinct(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w)))).withColumn("table", table.scalar())
     # The table has one use, so the optimizer puts the subquery there and no row carries it.
-    number = F.transform("hashes", lambda h: F.shiftleft(F.get("table", h.bitwiseAND(mask).cast("int")).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8)))
+    # An array that can't hold null is sorted as plain numbers.
+    known = lambda h: F.coalesce(F.get("table", h.bitwiseAND(mask).cast("int")).cast("long"), F.lit(0).cast("long"))
+    number = F.transform("hashes", lambda h: F.shiftleft(known(h), 56).bitwiseOR(F.shiftrightunsigned(h, 8)))
     rows = rows.select(*_DOC, "pos", F.sort_array(number).alias("set"))
     n = F.size("set")
     bitmap = lambda one: F.expr(f"aggregate(set, 0L, (a, w) -> a ^ shiftleft({one}, cast(w & 63 as int)))")
     prefix = F.slice("set", F.lit(1), F.when(n >= _least_shared(threshold), _prefix(n, threshold) + levels - 1).otherwise(0))
     wide = F.struct("did", "pos", "th", "th2", n.alias("n"), bitmap("1L").alias("x"), F.when(n >= WIDE, bitmap("shiftright(w, 6) & 1L")).otherwise(F.lit(0).cast("long")).alias("y"), prefix.alias("prefix"))
     rows = rows.select(F.xxhash64("set").alias("node"), F.xxhash64(F.lit(1), "set").alias("key2"), wide.alias("c"))
-    out = saved(rows.groupBy(*_KEY).agg(F.min("c").alias("c")).select(*_KEY, "c.*"), "classes")
+    out = rows.groupBy(*_KEY).agg(F.min("c").alias("c")).select(*_KEY, "c.*")
+    out = saved(out.withColumn("heads", _heads(threshold)), "classes")
     discard(table)
     return out
 
@@ -120,6 +121,13 @@ def _prefix(n: Column, threshold: float) -> Column:
     return n - F.ceil(n * threshold - 1e-9).cast("int") + 1
 
 
+def _heads(threshold: float) -> Column:
+    """Keys of two rare words each, at LEADING; a word that no other line has finds nothing."""
+    known = F.filter(F.slice("prefix", F.lit(1), _prefix(F.col("n"), threshold)), lambda w: F.shiftright(w, 56) > 0)
+    keys = F.transform(F.array(known), lambda q: F.array_compact(F.array(*(F.when(F.size(q) >= i, F.xxhash64(F.slice(q, i, 2))) for i in LEADING))))[0]
+    return F.when(F.col("n") >= 4, keys).otherwise(F.array().cast("array<bigint>"))
+
+
 def _behind(rows: DataFrame, threshold: float, level: int) -> DataFrame:
     """Keys of level words from rows (key k of one word less, its last word's place at, prefix): one for each word behind it."""
     size = _prefix(F.col("n"), threshold) + level - 2 - F.col("at")
@@ -146,7 +154,8 @@ def _possible(threshold: float, placed: bool = True) -> Column:
     near = (F.bit_count(F.col("a.x").bitwiseXOR(F.col("b.x"))) <= most) & (_apart() <= most)
     length = F.least(m, n) >= F.greatest(m, n) * threshold - 1e-9
     behind = (F.least(m - i, n - j) >= (m + n) * (threshold / (1 + threshold)) - 1e-9) if placed else F.lit(True)
-    return (F.col("a.k") == F.col("b.k")) & (F.col("b.did") <= F.col("a.did")) & (F.col("a.po").bitwiseAND(1) == 0) & near & length & behind & (_place("b") < _place("a"))
+    unsettled = F.least(F.col("a.po").bitwiseAND(1), F.col("b.nd")) == 0  # nd is over 0: the test needs both sides, so they are the same rows, shuffled once
+    return (F.col("a.k") == F.col("b.k")) & (F.col("b.did") <= F.col("a.did")) & unsettled & near & length & behind & (_place("b") < _place("a"))
 
 
 def _place(side: str) -> Column:
@@ -160,13 +169,13 @@ def _spread(crowd: DataFrame, prefixes: DataFrame) -> DataFrame:
 
 
 def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame, min_words: int) -> DataFrame:
-    """(node, key2, id, line) of the lines in pairs(later, earlier), read again: so no table holds the text of all lines."""
+    """(node, key2, id, set) of the lines in pairs(later, earlier), read again: so no table holds the words of all lines."""
     nodes = saved(pairs.select(F.col("later").alias("node")).union(pairs.select("earlier")).distinct(), "nodes")
     places = saved(classes.join(small(nodes), "node", "left_semi").select(*_KEY, *_DOC, "pos"), "places")
     holders = small(saved(places.select(F.col("did").alias("holder")).distinct(), "holders"))
     found = _lines(docs.join(holders, _keyed()["did"] == F.col("holder"), "left_semi"), min_words)
     found = found.join(small(places), [*_DOC, "pos"]).dropDuplicates([*_KEY, *_DOC, "pos"])
-    out = saved(found.select(*_KEY, F.struct("did", "pos", "node").alias("id"), "line"), "texts")
+    out = saved(found.select(*_KEY, F.struct("did", "pos", "node").alias("id"), F.array_distinct(_words(F.col("line"))).alias("set")), "texts")
     discard(nodes)
     discard(places)
     return out
@@ -174,8 +183,8 @@ def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame, min_words: int
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """(node, key2) of the later lines of pairs(later, earlier) that reach the threshold, judged by their words."""
-    one = texts.select(F.col("node").alias("later"), "key2", F.col("id").alias("ia"), F.array_distinct(_words(F.col("line"))).alias("set"))
-    two = texts.select(F.col("node").alias("earlier"), F.col("id").alias("ib"), F.array_distinct(_words(F.col("line"))).alias("set2"))
+    one = texts.select(F.col("node").alias("later"), "key2", F.col("id").alias("ia"), "set")
+    two = texts.select(F.col("node").alias("earlier"), F.col("id").alias("ib"), F.col("set").alias("set2"))
     both = pairs.join(one, "later").join(two, "earlier").where("ib < ia").withColumn("shared", F.size(F.array_intersect("set", "set2")))
     near = both.where(F.col("shared") >= (F.size("set") + F.size("set2") - F.col("shared")) * threshold - 1e-9)
     return saved(near.select(F.col("later").alias("node"), "key2").distinct(), "verified")
@@ -205,8 +214,8 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
 
     rows = classes.withColumn("po", F.shiftleft(F.col("pos").cast("long"), 1))
     own = F.slice("prefix", F.lit(1), _prefix(F.col("n"), threshold))
-    known = F.filter(own, lambda w: F.shiftright(w, 56) > 0)  # a word that no other line has finds nothing
-    heads = _packed(spread(rows, F.transform(F.array(known), lambda q: F.array(*(F.when(F.size(q) >= i, F.xxhash64(F.slice(q, i, 2))) for i in LEADING)))[0]).where("n >= 4 and k is not null"), 1)
+    repeated = saved(classes.select(F.explode("heads").alias("k")).groupBy("k").agg(F.count("*").alias("m")).where("m > 1").select("k"), "repeated")
+    heads = saved(_packed(spread(rows, F.col("heads")), 1).join(small(repeated), "k", "left_semi"), "heads")  # few keys lead from one line to another
     band = lambda nd: F.floor(F.log(F.shiftright(nd, 32).cast("double")) * 5)
     lead = heads.groupBy("k", band("nd").alias("band"), F.pmod("node", F.lit(LEADERS))).agg(F.min(F.struct("did", "po", "node", "x", "y", "nd")).alias("c")).select("k", "c.*")
     unplaced = _possible(threshold, placed=False) & (band("a.nd") == band("b.nd"))
@@ -232,10 +241,9 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
         if levels > 2:
             mine = classes.select("node", "prefix").join(small(saved(deep.select("node").distinct(), "nodes")), "node", "left_semi")
             deep = _packed(_behind(_spread(deep, mine), threshold, 3), 3)
-    found = []
-    for part in range(PARTS):  # what is shuffled at once is bounded by the parts
-        mine = keys.union(quiet).where(F.pmod(F.xxhash64("k"), F.lit(PARTS)) == part)
-        found.append(saved(mine.alias("a").join(mine.alias("b"), pair).select(*ends).distinct(), "pairs"))
+    mine = keys.union(quiet)
+    mine = mine.select(*(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in mine.columns))  # none is null; a test of a pair needn't ask
+    found = [saved(mine.alias("a").join(mine.alias("b"), pair).select(*ends).distinct(), "pairs")]
     if deep is not None:
         found.append(saved(deep.alias("a").join(deep.alias("b"), pair).select(*ends).distinct(), "pairs"))
     pairs = reduce(DataFrame.union, found)
@@ -247,7 +255,7 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 5, h
     rest = pairs.select("later", "earlier").distinct().join(small(saved(near.select(F.col("node").alias("later")).distinct(), "settled")), "later", "left_anti")
     rest = saved(rest, "rest")
     matched = saved(settled.union(near).union(_verified(rest, texts, threshold)).select(*_KEY).distinct(), "matched")
-    for used in (lead_pairs, first_pairs, several, crowded, *found, texts, closest, rest):
+    for used in (repeated, heads, lead_pairs, first_pairs, several, crowded, *found, texts, closest, rest):
         discard(used)
     release(docs.sparkSession)
     return classes.select(*_KEY, *_DOC, "pos"), matched
@@ -273,10 +281,9 @@ def line_report(docs: DataFrame, threshold: float = 0.8, min_words: int = 5) ->
     Shorter lines are never removed. Repeated rows (equal doc_id and text) are one document and get equal results; the
     lines of rows with an equal doc_id and another text are ordered by number, then by a hash. A null text is empty.
     """
-    text = _text()
-    n_lines = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
-    n_compared = F.regexp_count(text, F.lit("[^ \\t-\\r][^\\n]*+")) if min_words == 1 else F.size(F.filter(F.split(text, "\n"), lambda x: _worded(x, min_words)))
-    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(v.alias(f"__{k}") for k, v in _keyed().items()), n_lines.cast("long").alias("n_lines"), n_compared.cast("long").alias("n_compared"))
+    sizes = lambda lines: F.struct(F.size(lines).cast("long").alias("n_lines"), F.size(F.filter(lines, lambda x: _worded(x, min_words))).cast("long").alias("n_compared"))
+    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(v.alias(f"__{k}") for k, v in _keyed().items()), F.transform(F.array(F.split(_text(), "\n")), sizes)[0].alias("__sizes"))
+    sized = sized.select("doc_id", *(f"__{k}" for k in _DOC), F.col("__sizes.n_lines").alias("n_lines"), F.col("__sizes.n_compared").alias("n_compared"))  # split once
     out = _with_kept(sized, docs, threshold, min_words)
     return out.select("doc_id", "n_lines", "n_compared", (F.col("n_compared") - F.coalesce(F.size("__kept"), F.lit(0))).alias("n_removed"), F.coalesce(F.array_join("__kept", ","), F.lit("")).alias("kept_lines"))
 
